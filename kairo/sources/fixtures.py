@@ -1,0 +1,12 @@
+"""In-memory rows (S3 ``fromElements``, S4 ``fromCollection``)."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def rows_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
+    return spark.createDataFrame(list(rows), schema)
