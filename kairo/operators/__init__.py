@@ -9,6 +9,7 @@ from kairo.operators.rolling import (
     bucket_counts, bucket_of,
 )
 from kairo.operators.alerts import jump_alert, jump_alert_ttl
+from kairo.operators.rise import rise_alert
 from kairo.operators.control import (
     gate, latest_level, fire_risk, threshold_alert, threshold_table,
 )

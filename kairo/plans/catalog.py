@@ -267,6 +267,43 @@ def q_alert_counter(spark, sf_dir):
     return alerts.agg(F.count(F.lit(1)).alias("alerts"))
 
 
+# ---------------------------------------------------------------- X3
+_RISE_SQL = """
+WITH RECURSIVE b AS (
+  SELECT user_id AS id, ts, event_id AS seq, value AS v,
+         lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
+c AS (
+  SELECT *, CASE WHEN p IS NULL OR p = 0.0 OR v < p THEN 'F' WHEN v > p THEN 'R' ELSE 'E' END AS cls
+  FROM b),
+s AS (
+  SELECT *,
+    sum(CASE WHEN cls = 'F' THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY ts, seq
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg,
+    min(CASE WHEN cls = 'F' THEN ts END) OVER (PARTITION BY id ORDER BY ts, seq
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_f
+  FROM c),
+r AS (SELECT id, seg, ts, seq, next_f, ts + INTERVAL 1 DAY AS deadline FROM s WHERE cls = 'R'),
+nx AS (SELECT a.seq, b.seq AS nxt FROM r a ASOF LEFT JOIN r b
+       ON a.id = b.id AND a.seg = b.seg AND a.deadline <= b.ts),
+starts AS (SELECT arg_min(seq, (ts, seq)) AS seq FROM r GROUP BY id, seg),
+chain(seq) AS (
+  SELECT seq FROM starts
+  UNION ALL
+  SELECT nx.nxt FROM chain JOIN nx ON chain.seq = nx.seq WHERE nx.nxt IS NOT NULL)
+SELECT r.id, r.deadline AS ts, r.seq AS armed_seq,
+       format('Temperature of sensor ''{}'' monotonically increased 1 day.', r.id) AS message
+FROM chain JOIN r ON chain.seq = r.seq JOIN nx ON nx.seq = r.seq
+WHERE nx.nxt IS NOT NULL
+   OR (r.next_f IS NOT NULL AND r.next_f >= r.deadline)
+   OR (r.next_f IS NULL AND r.deadline <= (SELECT max(ts) FROM events))
+"""
+
+
+@register("rise_alert", _RISE_SQL)
+def q_rise_alert(spark, sf_dir):
+    return op.rise_alert(_readings(spark, sf_dir), hold="1 day")
+
+
 # ---------------------------------------------------------------- J1
 @register("gate", """
 SELECT r.user_id AS id, r.ts, r.value AS temperature, r.event_id AS seq, r.event_type

@@ -153,12 +153,18 @@ def order_number(df: DataFrame, name: str) -> Column:
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], first_order: str,
-                chunk_rows: int) -> DataFrame:
+                chunk_rows: int) -> tuple[DataFrame, bool]:
     """Add ``_chunk``: 0 for ordinary keys, the equal-range slice index of
-    ``first_order`` for keys with more than ``chunk_rows`` rows."""
+    ``first_order`` for keys with more than ``chunk_rows`` rows.
+
+    Returns the frame and whether any key is hot.  The hot-key table (at
+    most ``total / chunk_rows`` rows) is computed once — one pruned scan with
+    partial aggregation — and cached, so the row plan does not scan the
+    input again for it; being deterministic, it is recomputed identically if
+    an executor is lost.
+    """
     keys = list(keys)
-    pos = order_number(df, first_order)
-    with_pos = df.withColumn("_pos", pos)
+    with_pos = df.withColumn("_pos", order_number(df, first_order))
     stats = (with_pos.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"),
                   F.max("_pos").alias("_hi")))
@@ -166,9 +172,11 @@ def with_chunks(df: DataFrame, keys: Sequence[str], first_order: str,
            .select(*[F.col(k).alias(f"_hk_{j}") for j, k in enumerate(keys)],
                    F.col("_lo"),
                    ((F.col("_hi") - F.col("_lo") + 1)
-                    / F.ceil(F.col("_n") / chunk_rows)).alias("_span")))
-    # at most total/chunk_rows rows: a bounded broadcast
-    hot = F.broadcast(hot)
+                    / F.ceil(F.col("_n") / chunk_rows)).alias("_span"))).cache()
+    if hot.isEmpty():
+        hot.unpersist()
+        return df.withColumn("_chunk", F.lit(0).cast("long")), False
+    hot = F.broadcast(hot)          # bounded: at most total/chunk_rows rows
     if keys:
         cond = None
         for j, k in enumerate(keys):
@@ -179,18 +187,25 @@ def with_chunks(df: DataFrame, keys: Sequence[str], first_order: str,
         joined = with_pos.join(hot, how="left")
     chunk = F.when(F.col("_span").isNull(), F.lit(0)).otherwise(
         F.floor((F.col("_pos") - F.col("_lo")) / F.col("_span"))).cast("long")
-    return joined.withColumn("_chunk", chunk).drop(
+    out = joined.withColumn("_chunk", chunk).drop(
         "_pos", "_lo", "_span", *[f"_hk_{j}" for j in range(len(keys))])
+    return out, True
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                aggs: Sequence[Agg], *, chunk_rows: int | None | str = "auto") -> DataFrame:
+                aggs: Sequence[Agg], *, chunk_rows: int | None | str = "auto",
+                chunk_col: str | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value along ``order`` within
     each ``keys`` group (all rows when ``keys`` is empty).
 
     ``order`` must be a total order inside a key (e.g. ``ts, seq``).
     ``chunk_rows="auto"`` reads the session setting ``kairo.scan.chunkRows``;
     ``None`` disables chunking (direct window).
+
+    ``chunk_col`` names a chunk column already on ``df`` (from
+    ``with_chunks`` with the same keys and first order column); chained
+    scans then share one chunking, and the input is referenced twice
+    instead of four times.  The column is kept in the output.
     """
     keys, order = list(keys), list(order)
     if chunk_rows == "auto":
@@ -202,15 +217,22 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return w.rowsBetween(Window.unboundedPreceding,
                              Window.currentRow if inclusive else -1)
 
-    if chunk_rows is None:
+    chunked = None
+    if chunk_col is not None:
+        chunked = base.withColumn("_chunk", F.col(chunk_col))
+    elif chunk_rows is not None:
+        chunked, any_hot = with_chunks(base, keys, order[0], int(chunk_rows))
+        if not any_hot:
+            chunked = None
+
+    if chunked is None:
+        # no hot key: every key fits one task; the direct window
         w = Window.partitionBy(*keys).orderBy(*order)
         out = base.withColumns({
             a.name: _window_fn(a.kind, F.col(f"_in{i}")).over(frame(w, a.inclusive))
             for i, a in enumerate(aggs)})
         return out.drop(*inputs)
 
-    chunked = with_chunks(base, keys, order[0], int(chunk_rows))
-
     # (3) running values inside each chunk
     wl = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     local = chunked.withColumns({
@@ -237,7 +259,9 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out = joined.withColumns({
         a.name: _combine(a.kind, F.col(f"_car{i}"), F.col(f"_loc{i}"))
         for i, a in enumerate(aggs)})
-    drop = list(inputs) + ["_chunk", "_cc"] + [f"_ck_{j}" for j in range(len(keys))]
+    drop = list(inputs) + ["_cc"] + [f"_ck_{j}" for j in range(len(keys))]
+    if chunk_col is None:
+        drop.append("_chunk")
     drop += [f"_loc{i}" for i in range(len(aggs))] + [f"_car{i}" for i in range(len(aggs))]
     return out.drop(*drop)
 

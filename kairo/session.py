@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -58,11 +60,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, name)
-    n = 0
-    while os.path.exists(path):
-        n += 1
-        path = os.path.join(base, f"{name}-{n}")
-    return path
+    """A fresh, unique sub-folder of the shared checkpoint folder."""
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
+    (one job; the row count comes from an observation on that job) and read
+    it back.  The files survive executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.parquet(path), int(obs.get["n"])
