@@ -99,12 +99,14 @@ def late_updates(df: DataFrame, *, key: str = "id", et: str = "et", arrival: str
     fired = F.coalesce(F.col("end_ts") <= F.col("wm"), F.lit(False))
     dropped = F.coalesce(F.col("end_ts") + _seconds(allowance_s) <= F.col("wm"), F.lit(False))
     kept = w.filter(~dropped).withColumn("_fired", fired)
-    first = (kept.filter(~F.col("_fired")).groupBy(key, "end_ts")
-             .agg(F.count(F.lit(1)).alias("cnt"))
-             .withColumn("tag", F.lit(TAG_FIRST)))
     run = prefix_scan(kept, [key, "_ws"], [arrival], [
         Agg("cnt", "count", F.lit(1)),
         Agg("_ontime", "count", F.when(~F.col("_fired"), 1))])
+    # both outputs come from the one scan (its exchange is reused), so the
+    # arrival watermark is computed once
+    first = (run.filter(~F.col("_fired")).groupBy(key, "end_ts")
+                .agg(F.max("cnt").alias("cnt"))
+                .withColumn("tag", F.lit(TAG_FIRST)))
     upd = (run.filter(F.col("_fired"))
               .withColumn("tag", F.when((F.col("_ontime") == 0) & (F.col("cnt") == 1),
                                         F.lit(TAG_FIRST)).otherwise(F.lit(TAG_UPDATE)))
