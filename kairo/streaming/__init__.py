@@ -5,7 +5,7 @@ from kairo.streaming.time import as_event_time, bounded_out_of_order, punctuated
 from kairo.streaming.forms import (
     jump_alert_stream, jump_alert_ttl_stream, running_count_stream, gate_stream,
     threshold_alert_stream, fire_risk_stream, rise_alert_stream, window_agg_stream,
-    observe_stream, read_state,
+    observe_stream, read_state, late_rows_stream,
 )
 
 __all__ = [n for n in dir() if not n.startswith("_")]

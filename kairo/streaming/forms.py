@@ -31,12 +31,15 @@ def _key_type(df: DataFrame, key: str) -> str:
 
 
 def jump_alert_stream(df: DataFrame, threshold: float = 1.7, *, initial: float | None = 0.0,
-                      key: str = "id", delay: str = "5 seconds") -> DataFrame:
-    """X1 stream."""
+                      key: str = "id", delay: str = "5 seconds",
+                      ordered: bool = False) -> DataFrame:
+    """X1 stream.  ``ordered=True`` buffers rows until the watermark passes
+    them and folds in event-time order (independent of arrival order)."""
     df = as_event_time(df).withWatermark("ts", delay)
     schema = ALERT.replace("id long", f"id {_key_type(df, key)}")
     return df.groupBy(key).transformWithState(
-        P.JumpAlert(threshold, initial), schema, "Append", "None")
+        P.JumpAlert(threshold, initial, ordered), schema, "Append",
+        "EventTime" if ordered else "None")
 
 
 def jump_alert_ttl_stream(df: DataFrame, threshold: float = 1.5, ttl: str = "1 hour", *,
@@ -66,18 +69,21 @@ def _union(readings: DataFrame, control: DataFrame) -> DataFrame:
 
 
 def gate_stream(readings: DataFrame, switches: DataFrame, *, key: str = "id",
-                delay: str = "5 seconds") -> DataFrame:
+                delay: str = "5 seconds", processing_time: bool = False) -> DataFrame:
     """J1 stream: readings and switches keyed together; a timer at the gate
-    end clears the key's state."""
+    end clears the key's state.  ``processing_time=True``: the reference's
+    wall-clock gate (T6); meant for continuously running queries (a
+    ``processingTime`` trigger) — it is not exercised with ``availableNow``,
+    where pending wall-clock timers kept the test query from finishing."""
     sw = as_event_time(switches).select(
-        key, "ts", F.lit(-1).cast("long").alias("seq"),
+        key, "ts", F.lit(-1).cast("long").alias("seq"), "duration_ms",
         (F.col("ts") + F.make_dt_interval(
             secs=(F.col("duration_ms") / 1000).cast("decimal(18,6)"))).alias("_gate_end"))
     r = as_event_time(readings).select(key, "ts", "temperature", "seq")
     u = _union(r, sw).withWatermark("ts", delay)
     return u.groupBy(key).transformWithState(
-        P.Gate(), f"id {_key_type(u, key)}, ts timestamp, temperature double, seq long",
-        "Append", "EventTime")
+        P.Gate(processing_time), f"id {_key_type(u, key)}, ts timestamp, temperature double, seq long",
+        "Append", "ProcessingTime" if processing_time else "EventTime")
 
 
 def threshold_alert_stream(readings: DataFrame, thresholds: DataFrame, *, key: str = "id",
@@ -108,14 +114,34 @@ def fire_risk_stream(readings: DataFrame, levels: DataFrame, *, above: float = 1
 
 
 def rise_alert_stream(df: DataFrame, hold: str = "1 second", *, key: str = "id",
-                      delay: str = "5 seconds") -> DataFrame:
-    """X3 stream: event-time timers; a timer fires once the watermark passes
-    its deadline."""
+                      delay: str = "5 seconds", processing_time: bool = False) -> DataFrame:
+    """X3 stream: event-time timers fire once the watermark passes their
+    deadline; ``processing_time=True`` arms wall-clock timers as the
+    reference does (T6)."""
     df = as_event_time(df).withWatermark("ts", delay)
     msg = MESSAGE % ("%s", hold)          # key filled in per alert
     schema = MESSAGE_ALERT.replace("id long", f"id {_key_type(df, key)}")
     return df.groupBy(key).transformWithState(
-        P.RiseAlert(_interval_us(df.sparkSession, hold), msg), schema, "Append", "EventTime")
+        P.RiseAlert(_interval_us(df.sparkSession, hold), msg, processing_time), schema,
+        "Append", "ProcessingTime" if processing_time else "EventTime")
+
+
+def late_rows_stream(df: DataFrame, *, bound: str = "5 seconds", key: str = "id",
+                     et: str = "et") -> DataFrame:
+    """L2 + L4 stream: every row with its ``late`` flag (event time below
+    the watermark of its micro-batch) and the key's running late count.
+
+    Spark drops rows below the watermark before a stateful operator sees
+    them, so data rows carry a null watermark column and are never dropped,
+    while a narrow tick row per data row carries the event time and moves
+    the watermark (``bound`` behind the largest event time seen).  Ticks are
+    discarded in the processor."""
+    df = as_event_time(df, et)
+    both = df.select(key, et, "seq", F.explode(F.array(F.lit(False), F.lit(True))).alias("_tick"))
+    both = both.withColumn("_wm", F.when(F.col("_tick"), F.col(et))).withWatermark("_wm", bound)
+    return both.groupBy(key).transformWithState(
+        P.LateDetector(), f"id {_key_type(df, key)}, et timestamp, seq long, late boolean, "
+                          "late_count long", "Append", "EventTime")
 
 
 def window_agg_stream(df: DataFrame, key: str, size: str, aggs: dict[str, Column], *,

@@ -29,6 +29,13 @@ def _ts(us: int) -> datetime:
     return datetime.fromtimestamp(us // 1_000_000).replace(microsecond=us % 1_000_000)
 
 
+def _naive(ts: datetime) -> datetime:
+    """State reads may return zone-aware values; rows are naive local."""
+    if ts.tzinfo is None:
+        return ts
+    return datetime.fromtimestamp(ts.timestamp()).replace(microsecond=ts.microsecond)
+
+
 def _ms_ceil(us: int) -> int:
     return -((-us) // 1000)
 
@@ -38,17 +45,29 @@ def _sorted(rows, *fields):
 
 
 class JumpAlert(StatefulProcessor):
-    """``|value - last| > threshold``; unset last reads ``initial``."""
+    """``|value - last| > threshold``; unset last reads ``initial``.
+
+    ``ordered=True`` buffers a key's rows in list state until the watermark
+    passes them and folds them in ``(ts, seq)`` order (an event-time timer at
+    the oldest buffered row), so the result does not depend on arrival order
+    within the watermark delay; rows above the final watermark stay
+    buffered.
+    """
+
+    BUFFER = "ts timestamp, seq long, temperature double"
 
-    def __init__(self, threshold: float, initial: float | None = 0.0):
-        self.threshold, self.initial = threshold, initial
+    def __init__(self, threshold: float, initial: float | None = 0.0, ordered: bool = False):
+        self.threshold, self.initial, self.ordered = threshold, initial, ordered
 
     def init(self, handle):
+        self.handle = handle
         self.last = handle.getValueState("last", "v double")
+        if self.ordered:
+            self.buffer = handle.getListState("buffer", self.BUFFER)
 
-    def handleInputRows(self, key, rows, timerValues):
+    def _fold(self, key, rows):
         prev = self.last.get()[0] if self.last.exists() else None
-        for r in _sorted(rows, "ts", "seq"):
+        for r in rows:
             base = prev if prev is not None else self.initial
             if base is not None:
                 d = abs(r.temperature - base)
@@ -59,6 +78,36 @@ class JumpAlert(StatefulProcessor):
         if prev is not None:
             self.last.update((prev,))
 
+    def _release(self, key, new_rows, wm_ms):
+        held = [Row(ts=_naive(t[0]), seq=t[1], temperature=t[2])
+                for t in (self.buffer.get() if self.buffer.exists() else [])]
+        old_min = min((_us(r.ts) for r in held), default=None)
+        rows = _sorted(held + [Row(ts=_naive(r.ts), seq=r.seq, temperature=r.temperature)
+                               for r in new_rows], "ts", "seq")
+        ready = [r for r in rows if _us(r.ts) <= wm_ms * 1000]
+        keep = [r for r in rows if _us(r.ts) > wm_ms * 1000]
+        yield from self._fold(key, ready)
+        if keep:
+            self.buffer.put([(r.ts, r.seq, r.temperature) for r in keep])
+            new_min = _us(keep[0].ts)
+            if new_min != old_min:
+                if old_min is not None:
+                    self.handle.deleteTimer(_ms_ceil(old_min))
+                self.handle.registerTimer(_ms_ceil(new_min))
+        else:
+            self.buffer.clear()
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.ordered:
+            yield from self._release(key, list(rows), timerValues.getCurrentWatermarkInMs())
+        else:
+            yield from self._fold(key, _sorted(rows, "ts", "seq"))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.ordered:
+            return self._release(key, [], timerValues.getCurrentWatermarkInMs())
+        return iter([])
+
     def close(self):
         pass
 
@@ -118,9 +167,14 @@ class RunningCount(StatefulProcessor):
 
 
 class Gate(StatefulProcessor):
-    """Switches (``_src == 0``, ``_gate_end``) open the key's gate;
-    readings (``_src == 1``) pass while ``ts < open_until``.  A timer at the
-    gate end clears the state."""
+    """Switches (``_src == 0``, ``_gate_end``, ``duration_ms``) open the
+    key's gate; readings (``_src == 1``) pass while ``ts < open_until``.  A
+    timer at the gate end clears the state.  ``processing_time=True`` opens
+    the gate for ``duration`` of wall-clock time from the micro-batch that
+    receives the switch, as the reference does (T6)."""
+
+    def __init__(self, processing_time: bool = False):
+        self.processing_time = processing_time
 
     def init(self, handle):
         self.handle = handle
@@ -129,11 +183,13 @@ class Gate(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         until = self.until.get()[0] if self.until.exists() else None
         before = until
+        now = timerValues.getCurrentProcessingTimeInMs() * 1000 if self.processing_time else None
         for r in _sorted(rows, "ts", "_src", "seq"):
+            t = now if now is not None else _us(r.ts)
             if r._src == 0:
-                end = _us(r._gate_end)
+                end = (now + r.duration_ms * 1000) if now is not None else _us(r._gate_end)
                 until = end if until is None else max(until, end)
-            elif until is not None and _us(r.ts) < until:
+            elif until is not None and t < until:
                 yield Row(id=key[0], ts=r.ts, temperature=r.temperature, seq=r.seq)
         if until is not None and until != before:
             if before is not None:
@@ -211,8 +267,8 @@ class RiseAlert(StatefulProcessor):
     """A rise arms a timer ``hold`` later, a fall (or a previous value of
     0.0) cancels it, an equal value leaves it; the timer emits the message."""
 
-    def __init__(self, hold_us: int, message: str):
-        self.hold, self.message = hold_us, message
+    def __init__(self, hold_us: int, message: str, processing_time: bool = False):
+        self.hold, self.message, self.processing_time = hold_us, message, processing_time
 
     def init(self, handle):
         self.handle = handle
@@ -226,8 +282,9 @@ class RiseAlert(StatefulProcessor):
         prev = self.prev.get()[0] if self.prev.exists() else 0.0
         timer = self.timer.get()[0] if self.timer.exists() else None
         registered = timer
+        now = timerValues.getCurrentProcessingTimeInMs() * 1000 if self.processing_time else None
         for r in _sorted(rows, "ts", "seq"):
-            t = _us(r.ts)
+            t = now if now is not None else _us(r.ts)
             if timer is not None and timer <= t:
                 yield self._alert(key, timer)
                 timer = None
@@ -255,3 +312,26 @@ class RiseAlert(StatefulProcessor):
 
     def close(self):
         pass
+
+
+class LateDetector(StatefulProcessor):
+    """L2 + L4 stream.  Data rows (``_tick`` false) carry a null watermark
+    column, so Spark never drops them; tick rows carry the event time and
+    move the watermark.  A data row is late when its event time is below the
+    watermark of its micro-batch.  Output: every data row with its ``late``
+    flag and the key's running late count."""
+
+    def init(self, handle):
+        self.count = handle.getValueState("late_count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        n = self.count.get()[0] if self.count.exists() else 0
+        for r in _sorted([r for r in rows if not r._tick], "seq"):
+            late = wm_us > 0 and _us(r.et) < wm_us
+            n += int(late)
+            yield Row(id=key[0], et=r.et, seq=r.seq, late=late, late_count=n)
+        self.count.update((n,))
+
+    def close(self):
+        pass

@@ -151,3 +151,39 @@ def test_restart_from_checkpoint(spark, events):
     out = spark.read.parquet(path + "-out")
     same(out, op.jump_alert(readings_of(events), threshold=1.7),
          ["id", "ts", "seq", "temperature", "temp_diff"])
+
+
+def test_ordered_jump_alert_ignores_arrival_order(spark, events):
+    """Rows arrive shuffled; buffered folding in event-time order still
+    equals the batch form.  Two far-future rows of another key close the
+    stream (the watermark passes every real row)."""
+    path = tempfile.mkdtemp(prefix="kairo-replay-") + "/events"
+    shuffled = events.withColumn("_arr", F.xxhash64("event_id"))
+    close = (events.limit(2).withColumn("user_id", F.lit(-1).cast("long"))
+             .withColumn("ts", F.expr("TIMESTAMP'2030-01-01 00:00:00' + make_dt_interval(0, 0, 0, event_id)")))
+    split_for_replay(shuffled.drop("_arr").withColumn("_arr", F.xxhash64("event_id")), path, 4,
+                     order="_arr")
+    split_for_replay(close.withColumn("_arr", F.col("event_id")), path, 2, order="_arr")
+    s = readings_of(replay_stream(spark, path, shuffled.schema))
+    out, _, _ = run(st.jump_alert_stream(s, 1.7, delay="40 days", ordered=True))
+    same(out.filter("id >= 0"), op.jump_alert(readings_of(events), threshold=1.7),
+         ["id", "ts", "seq", "temperature", "temp_diff"])
+
+
+def test_late_rows_stream_subset_of_batch(spark):
+    from conftest import SF001
+    from kairo.sources.tables import with_disorder
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    r = with_disorder(readings_of(ev), seq="seq", ts="ts", out="et").withColumn(
+        "et", F.col("et").cast("timestamp"))
+    path = tempfile.mkdtemp(prefix="kairo-replay-") + "/late"
+    split_for_replay(r, path, 8, order="seq")
+    out, _, _ = run(st.late_rows_stream(replay_stream(spark, path, r.schema), bound="5 hours"))
+    late_stream = {row["seq"] for row in out.filter("late").collect()}
+    late_batch = {row["seq"] for row in op.late_rows(r, bound_s=5 * 3600).collect()}
+    assert out.count() == r.count()
+    assert late_stream and late_stream <= late_batch
+    counts = {row["id"]: row["n"] for row in
+              out.groupBy("id").agg(F.max("late_count").alias("n")).collect()}
+    assert sum(counts.values()) == len(late_stream)
+
