@@ -187,3 +187,28 @@ def test_late_rows_stream_subset_of_batch(spark):
               out.groupBy("id").agg(F.max("late_count").alias("n")).collect()}
     assert sum(counts.values()) == len(late_stream)
 
+
+
+def test_punctuated_watermark_router_and_counter(spark, events, replay_dir):
+    """T4 (only some rows move the watermark), A12 (stream counter) and the
+    foreachBatch router of a tagged side output (K6/X6)."""
+    s = readings_of(stream_events(spark, replay_dir, events))
+    p = st.punctuated(s, F.col("id") == 1, delay="1 hour")
+    routed = st.observe_stream(op.freezing_monitor(p.drop("wm_ts")), "rows")
+    seen = {"main": 0, "side": 0}
+
+    def sink_for(kind):
+        def sink(df, epoch):
+            seen[kind] += df.count()
+        return sink
+
+    q = (routed.writeStream.foreachBatch(op.router({k: sink_for(k) for k in seen}))
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="kairo-ck-"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    n = events.count()
+    assert seen["main"] == n
+    assert seen["side"] == events.filter("value < 32").count()
+    observed = [pr["observedMetrics"]["rows"]["rows"] for pr in q.recentProgress
+                if pr.get("observedMetrics")]
+    assert sum(observed) == n + seen["side"]
