@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
+import zipfile
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -48,15 +53,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and streaming checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it
-    is unset — local tests — a fresh scratch folder is created and set.
+    ``spark.checkpoint.dir`` if the cluster sets it, else the folder the
+    user's context already has.  Only a local master without either gets a
+    fresh scratch folder; any other master raises, because a machine-local
+    folder would not be shared.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="kairo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="kairo-ckpt-")
+        sc.setCheckpointDir(folder)
+        atexit.register(_delete_local, folder.removeprefix("file://"))
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
+
+
+def _delete_local(path: str) -> None:
+    shutil.rmtree(path, ignore_errors=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -68,9 +84,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
     (one job; the row count comes from an observation on that job) and read
-    it back.  The files survive executor loss."""
+    it back.  The files survive executor loss; ``release`` deletes them."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"])
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out, int(obs.get["n"])
+
+
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files behind frames that ``materialize`` returned, once no
+    later plan reads them."""
+    for df in frames:
+        path = _WRITTEN.pop(df, None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            where.getFileSystem(conf).delete(where, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that map
+    functions import it there whatever the working folder is."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="kairo-zip-")
+    atexit.register(_delete_local, folder)
+    path = os.path.join(folder, "kairo.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
