@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kairo.llm.near import near_components
+from kairo.llm.suffix import remove_repeats
 from kairo.session import ship_package
 
 
@@ -18,8 +19,13 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(_table(spark, sf_dir, "documents"), words=3, num=85, den=100)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 100-byte strings that also start earlier, removed."""
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {f.__name__: f for f in (
-    op9_minhash_near_dedup,
+    op9_minhash_near_dedup, op10_suffix_array_dedup,
 )}
 
 ORACLE: dict[str, str] = {}
