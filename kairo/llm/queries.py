@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kairo.llm.near import near_components
+from kairo.llm.pieces import round_trip
+from kairo.llm.simhash import fingerprint_edits
 from kairo.llm.suffix import remove_repeats
 from kairo.session import ship_package
 
@@ -14,6 +16,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where the public vocabulary files lie; queries read the environment's copy.
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every text, of its edited text, and their likeness."""
+    return fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of their decoding."""
+    return round_trip(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets overlap by 0.85."""
     return near_components(_table(spark, sf_dir, "documents"), words=3, num=85, den=100)
@@ -25,6 +43,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op4_document_fingerprints, op5_sentencepiece,
     op9_minhash_near_dedup, op10_suffix_array_dedup,
 )}
 
