@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kairo.llm import sharding
 from kairo.llm.near import near_components
 from kairo.llm.pieces import round_trip
 from kairo.llm.simhash import fingerprint_edits
@@ -22,6 +23,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight contiguous shards of near equal bytes; equal texts stay together."""
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every text, of its edited text, and their likeness."""
     return fingerprint_edits(_table(spark, sf_dir, "documents"))
@@ -43,8 +49,8 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_document_fingerprints, op5_sentencepiece,
+    op1_sharding, op4_document_fingerprints, op5_sentencepiece,
     op9_minhash_near_dedup, op10_suffix_array_dedup,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE}
