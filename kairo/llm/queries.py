@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kairo.llm import sharding
+from kairo.llm.decontaminate import find_contamination
 from kairo.llm.near import near_components
 from kairo.llm.pieces import round_trip
+from kairo.llm.quality import select_documents
 from kairo.llm.simhash import fingerprint_edits
 from kairo.llm.suffix import remove_repeats
 from kairo.session import ship_package
@@ -38,6 +40,17 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights and Gumbel top-k selection of all documents."""
+    return select_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a window that is 0.8 or more similar to a benchmark item."""
+    return find_contamination(_table(spark, sf_dir, "documents"),
+                              _table(spark, sf_dir, "benchmark"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets overlap by 0.85."""
     return near_components(_table(spark, sf_dir, "documents"), words=3, num=85, den=100)
@@ -50,6 +63,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op4_document_fingerprints, op5_sentencepiece,
+    op6_quality_classifier, op7_benchmark_decontamination,
     op9_minhash_near_dedup, op10_suffix_array_dedup,
 )}
 
