@@ -189,7 +189,7 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 512, few: int =
 def select_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", *,
                      max_labels: int = 20_000, contrast: float = 50.0, rate: float = 0.015,
                      temperature: float = 0.01, seed: int = 6) -> DataFrame:
-    """One row per document: ``(doc_id, log_weight, key, selected)``.
+    """One row per document: ``(doc_id, text_crc32, log_weight, key, selected)``.
 
     ``labels`` has ``doc_id, quality, toxic``; rows with a null among them are
     ignored, and a repeated id uses its smallest class.  Null and empty texts
@@ -237,7 +237,7 @@ def select_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", tex
     k = scored.filter(F.col("log_weight") >= cut).count()
     least = kth_largest(scored, "key", k) if 0 < k < n else float("-inf")
     release(chosen)
-    return scored.select("doc_id", "log_weight", "key",
+    return scored.select("doc_id", F.col("crc").alias("text_crc32"), "log_weight", "key",
                          (F.col("key") >= F.lit(least)).alias("selected"))
 
 

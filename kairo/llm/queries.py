@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kairo.llm import sharding
+from kairo.llm import chat, sharding
 from kairo.llm.decontaminate import find_contamination
+from kairo.llm.lines import remove_repeated_lines
 from kairo.llm.near import near_components
 from kairo.llm.pieces import round_trip
 from kairo.llm.quality import select_documents
 from kairo.llm.simhash import fingerprint_edits
 from kairo.llm.suffix import remove_repeats
+from kairo.llm.token_counts import count_tokens, sample_edits
 from kairo.session import ship_package
 
 
@@ -30,6 +33,19 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the multi-line chunks that occur earlier."""
+    return remove_repeated_lines(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text before and after three edits."""
+    import public_tokenizers
+    return count_tokens(_table(spark, sf_dir, "documents"),
+                        tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                        sample_edits())
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every text, of its edited text, and their likeness."""
     return fingerprint_edits(_table(spark, sf_dir, "documents"))
@@ -51,6 +67,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                               _table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls that conversations give, linked, ordered, validated."""
+    calls, results = chat.conversation_calls(_table(spark, sf_dir, "conversations"))
+    return chat.link_tool_calls(calls, results, chat.TOOLS) \
+               .withColumn("problems", F.array_join("problems", "; "))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets overlap by 0.85."""
     return near_components(_table(spark, sf_dir, "documents"), words=3, num=85, den=100)
@@ -62,9 +85,9 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op4_document_fingerprints, op5_sentencepiece,
-    op6_quality_classifier, op7_benchmark_decontamination,
+    op1_sharding, op2_line_dedup, op3_token_counts, op4_document_fingerprints, op5_sentencepiece,
+    op6_quality_classifier, op7_benchmark_decontamination, op8_chat_formatting,
     op9_minhash_near_dedup, op10_suffix_array_dedup,
 )}
 
-ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE}
+ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op8_chat_formatting": chat.ORACLE}
