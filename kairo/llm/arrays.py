@@ -15,12 +15,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1          # odd, so it has an inverse mod 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+# freed batches go back to the system instead of staying with the worker
+pa.set_memory_pool(pa.system_memory_pool())
+
+
 def seeds(n: int, seed: int) -> np.ndarray:
     """``n`` fixed odd 64-bit constants."""
     return np.random.default_rng(seed).integers(0, 1 << 63, n, dtype=np.uint64) * U64(2) + U64(1)

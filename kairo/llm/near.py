@@ -13,12 +13,13 @@ length.  Classes that share ``matches`` lists share one of the first
 ``coordinates - matches + 1`` of either, so the longest lists are skipped; a
 list with one member yields nothing, and ordinary documents have no other.
 
-*Groups of copies.*  Members of a list are first compared with one leader of
-the list (its most shared member), which is linear; components then merge,
-and a second leader is tried between components.  Only pairs of different
-components that still share a list are compared one by one, so no link
-between components is missed and no group is expanded into all its pairs.
-Pairs whose signatures agree often enough are confirmed on the full sets.
+*Groups of copies.*  Each list has a leader (its most shared member), and a
+member is first compared with the few leaders it meets in most lists, which is
+linear; components then merge, and a second leader is tried between components.  Documents of different
+components that still share a list are joined on the rarest items of their
+full sets, with an exact bound on the overlap the rest leaves possible, so no
+link between components is missed and no group is expanded into all its
+pairs.  Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -35,6 +36,11 @@ from kairo.llm.graph import connected_components
 from kairo.session import materialize, release
 
 
+#: Leaders that a member is compared with in a round; what they leave apart is
+#: settled by the exact join, so this bounds work, not results.
+LEADERS = 6
+
+
 def match_threshold(coordinates: int, num: int, den: int) -> int:
     s = num / den
     return max(1, int(coordinates * s - 6 * (coordinates * s * (1 - s)) ** 0.5))
@@ -99,6 +105,41 @@ def _confirm(num: int, den: int):
     return run
 
 
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            part = batch.slice(i, 64)
+            items = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(3)]
+            m = [len(x) for x in items]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(part.column(k).to_numpy(), m)) for k in range(3)]
+                + [pa.array(np.concatenate(items))], names=["id", "n", "component", "item"])
+
+
+def _prefix_pairs(docs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that may link, exactly: with
+    each set's items in rising frequency, linked sets share an item among the
+    first ``n - ceil(n * num / den) + 1`` of both, and the places of their
+    first shared item leave room for the overlap that a link needs.  Items of
+    one set only are counted, not joined."""
+    items = docs.join(sets, "id").select("id", "n", "component", "items") \
+                .mapInArrow(_items, "id long, n long, component long, item long")
+    often = items.groupBy("item").agg(F.count("*").alias("members")).filter("members > 1")
+    ranked = (items.join(often, "item").groupBy("id", "n", "component")
+              .agg(F.sort_array(F.collect_list(F.struct("members", "item"))).alias("l"))
+              .withColumn("single", F.expr("n - size(l)"))
+              .select("id", "n", "component", "single", F.posexplode(F.expr(
+                  f"slice(l, 1, greatest(0, n - (n * {num} + {den} - 1) div {den} + 1 - single))"))
+                  .alias("k", "p"))
+              .select("id", "n", "component", F.expr("n - single - k").alias("room"),
+                      F.col("p.item").alias("item")))
+    other = ranked.select("item", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "room")])
+    return (ranked.join(other, "item")
+            .filter("id < id2 AND component <> component2")
+            .filter(f"least(room, room2) * {num + den} >= (n + n2) * {num}")
+            .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
+
+
 def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
                     words: int = 5, num: int = 4, den: int = 5,
                     coordinates: int = 40) -> DataFrame:
@@ -142,10 +183,11 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
                           .mapInArrow(_blobs(words), "id long, items binary"), "near-sets")
     sigs = prof.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "sig")
 
-    def check(pairs: DataFrame) -> DataFrame:
+    def check(pairs: DataFrame, signatures: bool = True) -> DataFrame:
         one, two = (sigs.select(F.col("id").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab")
         agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-        likely = pairs.join(one, "a").join(two, "b").filter(agree >= need).select("a", "b")
+        likely = pairs.join(one, "a").join(two, "b").filter(agree >= need).select("a", "b") \
+            if signatures else pairs
         one, two = (sets.select(F.col("id").alias(x), F.col("items").alias(f"i{x}")) for x in "ab")
         found = likely.join(one, "a").join(two, "b").select("a", "b", "ia", "ib")
         return materialize(found.mapInArrow(_confirm(num, den), "a long, b long, linked boolean"),
@@ -176,6 +218,11 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
                             F.col("m.component").alias("lead_component")))
         pairs = (now.join(heads_of, "token")
                  .filter((F.col("component") != F.col("lead_component")) & fits("n", "lead_n"))
+                 .groupBy("id", "lead").agg(F.count("*").alias("agree"))
+                 .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("agree", "lead")), False)
+                                    .alias("l"))
+                 .select("id", F.explode(F.slice("l", 1, LEADERS)).alias("m"))
+                 .select("id", "m.lead")
                  .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
                  .distinct())
         if tried is not None:
@@ -186,22 +233,17 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
         edges = linked if edges is None else edges.union(linked)
         labels = label(edges, labels)
 
-    # what is left: pairs of different components that still share a list
+    # what is left: documents of different components that still share a list
     now = with_components(labels)
     open_lists = (now.groupBy("token")
                   .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                   .filter("lo < hi").select("token"))
-    rest = now.join(open_lists, "token", "left_semi").select("token", "id", "n", "component")
-    other = rest.select("token", F.col("id").alias("id2"), F.col("n").alias("n2"),
-                        F.col("component").alias("c2"))
-    pairs = (rest.join(other, "token")
-             .filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("c2"))
-                     & fits("n", "n2"))
-             .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-             .join(tried, ["a", "b"], "left_anti"))
-    edges = edges.union(check(pairs).filter("linked").select("a", "b"))
+    rest, _ = materialize(now.join(open_lists, "token", "left_semi")
+                          .select("id", "n", "component").distinct(), "near-open")
+    pairs = _prefix_pairs(rest, sets, num, den).join(tried, ["a", "b"], "left_anti")
+    edges = edges.union(check(pairs, signatures=False).filter("linked").select("a", "b"))
     labels = connected_components(edges)
-    release(posts, sets)
+    release(posts, sets, rest)
 
     out = slim.join(classes, ["n", "s1", "s2"], "left") \
               .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")

@@ -82,9 +82,10 @@ class PieceCodec:
         self._older: dict[str, tuple[int, str, str]] = {}
 
     def _segmenter(self) -> re.Pattern:
-        after = {b for p in self.id for a, b in zip(p, p[1:]) if a.isalpha()}
-        open_ = "".join(sorted(c for c in after if not c.isalpha() and c not in (MARK, "\n")))
         letter, other = "[^\\W\\d_]", "(?:[^\\w \n]|[\\d_])"
+        is_letter = re.compile(letter).match
+        after = {b for p in self.id for a, b in zip(p, p[1:]) if is_letter(a)}
+        open_ = "".join(sorted(c for c in after if not is_letter(c) and c not in (MARK, "\n")))
         tail = f"(?:{letter}+[{re.escape(open_)}]{other}*)*" if open_ else ""
         return re.compile(f"(?=[^\n]) *{other}*{tail}{letter}*|\n")
 
