@@ -156,7 +156,7 @@ def _score(buckets: np.ndarray, ratio: np.ndarray):
                 bucket, doc = features(buf, off)
                 hit = weight[bucket] != 0
                 bucket, doc = _distinct(bucket[hit], doc[hit])
-                total = np.bincount(doc, weights=weight[bucket], minlength=j - i)
+                total = np.bincount(doc, weights=weight[bucket], minlength=j - i).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i),
                      pa.array(total)], names=["doc_id", "crc", "log_weight"])
