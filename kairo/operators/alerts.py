@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kairo.functions.scalar import abs_diff
 from kairo.plans.scan import Agg, prefix_scan
 
 
@@ -23,12 +24,15 @@ def jump_alert(df: DataFrame, key: str = "id", order: Sequence[str] = ("ts", "se
     The first reading of a key compares with ``initial`` (0.0 as in the
     reference, where unset state reads as zero, so a first reading with
     ``|value| > threshold`` alerts); ``initial=None`` never alerts on a first
-    reading.  Output ``(id, ts, temperature, temp_diff)`` (+ order columns).
+    reading.  A null reading never alerts, and the reading after it has nothing
+    to compare with, so it does not alert either.
+    Output ``(id, ts, temperature, temp_diff)`` (+ order columns).
     """
     order = list(order)
-    s = prefix_scan(df, [key], order, [Agg("_prev", "last", value, inclusive=False)])
-    prev = F.coalesce(F.col("_prev"), F.lit(initial)) if initial is not None else F.col("_prev")
-    s = s.withColumn("temp_diff", F.abs(F.col(value) - prev))
+    s = prefix_scan(df, [key], order, [Agg("_prev", "last", F.struct(F.col(value).alias("v")),
+                                           inclusive=False)])
+    prev = F.when(F.col("_prev").isNull(), F.lit(initial)).otherwise(F.col("_prev.v"))
+    s = s.withColumn("temp_diff", abs_diff(value, prev))
     return (s.filter(F.col("temp_diff") > F.lit(threshold))
              .select(key, *order, value, "temp_diff"))
 
@@ -42,15 +46,16 @@ def jump_alert_ttl(df: DataFrame, key: str = "id", order: Sequence[str] = ("ts",
 
     (The reference clears on a timer that waits for the watermark, so a row
     up to the watermark delay past the hour may still see old state; here
-    the gap rule is exact in event time.)
+    the gap rule is exact in event time.)  Null readings count as in X1.
     """
     order = list(order)
     ts = order[0]
-    s = prefix_scan(df, [key], order, [Agg("_prev", "last", value, inclusive=False),
+    s = prefix_scan(df, [key], order, [Agg("_prev", "last", F.struct(F.col(value).alias("v")),
+                                           inclusive=False),
                                        Agg("_prev_ts", "last", ts, inclusive=False)])
     fresh = F.col("_prev_ts").isNull() | (
         F.col(ts) >= F.col("_prev_ts") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
-    prev = F.when(fresh, F.lit(0.0)).otherwise(F.col("_prev"))
-    s = s.withColumn("temp_diff", F.abs(F.col(value) - prev))
+    prev = F.when(fresh, F.lit(0.0)).otherwise(F.col("_prev.v"))
+    s = s.withColumn("temp_diff", abs_diff(value, prev))
     return (s.filter(F.col("temp_diff") > F.lit(threshold))
              .select(key, *order, value, "temp_diff"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kairo.functions.scalar import abs_diff
 from kairo.plans.scan import Agg, prefix_scan
 from kairo.schema import LEVEL_HIGH, LEVEL_LOW
 
@@ -87,20 +88,22 @@ def threshold_alert(readings: DataFrame, thresholds: DataFrame, *, key: str = "i
     reading is checked only while its key has a threshold:
     ``|value - previous reading of the key| > threshold`` (strict).  The
     previous reading moves on every reading, checked or not; a key's first
-    reading compares with ``initial``.  Output ``(id, ts, temperature,
+    reading compares with ``initial``, one after a null reading with nothing.
+    Output ``(id, ts, temperature,
     temp_diff)`` (+ seq).
     """
     th = thresholds.select(F.col(key), F.col(ts), F.col(seq),
                            F.col(threshold).alias("_thr"))
     u = _tagged_union(readings, th, {"_thr": "double"})
-    u = u.withColumn("_rv", F.when(F.col("_src") == _READING, F.col(value)))
+    u = u.withColumn("_rv", F.when(F.col("_src") == _READING, F.struct(F.col(value).alias("v"))))
     s = prefix_scan(u, [key], [ts, "_src", seq],
                     [Agg("_cur_thr", "last", "_thr"),
                      Agg("_prev", "last", "_rv", inclusive=False)])
     s = (s.filter((F.col("_src") == _READING) & F.col("_cur_thr").isNotNull()
                   & (F.col("_cur_thr") != 0.0))
           .withColumn("temp_diff",
-                      F.abs(F.col(value) - F.coalesce(F.col("_prev"), F.lit(initial)))))
+                      abs_diff(value, F.when(F.col("_prev").isNull(), F.lit(initial))
+                                     .otherwise(F.col("_prev.v")))))
     return (s.filter(F.col("temp_diff") > F.col("_cur_thr"))
              .select(key, ts, seq, value, "temp_diff"))
 

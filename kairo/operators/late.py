@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from kairo.functions.windowing import tumbling
 from kairo.plans.scan import Agg, prefix_scan
 from kairo.schema import TAG_FIRST, TAG_UPDATE
+from kairo.session import materialize
 
 
 def _seconds(s: int) -> "F.Column":
@@ -98,12 +99,12 @@ def late_updates(df: DataFrame, *, key: str = "id", et: str = "et", arrival: str
     w = _windowed(df, et, arrival, bound_s, size)
     fired = F.coalesce(F.col("end_ts") <= F.col("wm"), F.lit(False))
     dropped = F.coalesce(F.col("end_ts") + _seconds(allowance_s) <= F.col("wm"), F.lit(False))
-    kept = w.filter(~dropped).withColumn("_fired", fired)
+    # written once: the second scan's statistics would repeat the first scan
+    kept, _ = materialize(w.filter(~dropped).select(
+        key, arrival, "_ws", "end_ts", fired.alias("_fired")), "late-rows")
     run = prefix_scan(kept, [key, "_ws"], [arrival], [
         Agg("cnt", "count", F.lit(1)),
         Agg("_ontime", "count", F.when(~F.col("_fired"), 1))])
-    # both outputs come from the one scan (its exchange is reused), so the
-    # arrival watermark is computed once
     first = (run.filter(~F.col("_fired")).groupBy(key, "end_ts")
                 .agg(F.max("cnt").alias("cnt"))
                 .withColumn("tag", F.lit(TAG_FIRST)))

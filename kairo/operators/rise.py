@@ -30,37 +30,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kairo.plans.scan import Agg, default_chunk_rows, order_number, prefix_scan, with_chunks
-from kairo.session import materialize
+from kairo.functions.scalar import message
+from kairo.plans.scan import (
+    Agg, Chunks, default_chunk_rows, order_number, prefix_scan, with_chunks)
+from kairo.session import materialize, release
 
 MESSAGE = "Temperature of sensor '%s' monotonically increased %s."
 
 
 def rise_alert(df: DataFrame, key: str = "id", order: Sequence[str] = ("ts", "seq"),
-               value: str = "temperature", hold: str = "1 second", *,
-               max_rounds: int = 64) -> DataFrame:
+               value: str = "temperature", hold: str = "1 second"
+               ) -> DataFrame:
     """Output ``(id, ts, armed_seq, message)``: one row per fired timer, at
-    its deadline, with the arrival id of the row that armed it."""
+    its deadline, with the arrival id of the row that armed it.  ``order`` is
+    a total order inside a key; ``seq`` may repeat across keys."""
     ts, seq = list(order)
     hold_iv = F.expr(f"INTERVAL {hold}")
 
     # 1. previous value → row class; 2. segment number = falls so far.
     #    Both scans share one chunking; the result is written once.
-    s, any_hot = with_chunks(df.select(key, ts, seq, value), [key], ts,
-                             default_chunk_rows(df))
-    shared = {"chunk_col": "_chunk"} if any_hot else {"chunk_rows": None}
-    s = prefix_scan(s, [key], [ts, seq], [Agg("_p", "last", value, inclusive=False)],
-                    **shared)
+    cut = with_chunks(df.select(key, ts, seq, value), [key], [ts, seq], default_chunk_rows(df))
+    s = prefix_scan(cut.rows, [key], [ts, seq], [Agg("_p", "last", value, inclusive=False)],
+                    chunks=cut)
     p, v = F.col("_p"), F.col(value)
     s = s.withColumn("_cls", F.when(p.isNull() | (p == 0.0) | (v < p), F.lit("F"))
                               .when(v > p, F.lit("R")).otherwise(F.lit("E")))
     s = prefix_scan(s, [key], [ts, seq],
                     [Agg("_seg", "count", F.when(F.col("_cls") == "F", 1))],
-                    **shared)
-    s, _ = materialize(s.drop("_chunk", "_p"), "rise-rows")
+                    chunks=Chunks(s, cut.slices))
+    s, _ = materialize(s.drop("_chunk", "_hot", "_p"), "rise-rows")
 
     # 3. one reverse scan over rows and deadline probes: next fall after each
     #    row, and the first rise at or after each rise's deadline
@@ -78,31 +79,36 @@ def rise_alert(df: DataFrame, key: str = "id", order: Sequence[str] = ("ts", "se
         Agg("_nr_seg", "last", F.when(is_rise, F.col("_seg"))),
         Agg("_next_f", "last", F.when(is_fall, F.col(ts)), inclusive=False)])
 
+    # a node is a rise row; its name holds the key, since seq may repeat across keys
+    def name(c: str) -> Column:
+        return F.struct(F.col(key).alias("k"), F.col(c).alias("n"))
+
     nxt = (u.filter(F.col("_kind") == 1)
-            .select(F.col("_probe_of").alias("node"),
-                    F.when(F.col("_nr_seg") == F.col("_seg"), F.col("_nr")).alias("to")))
+            .select(name("_probe_of").alias("node"),
+                    F.when(F.col("_nr_seg") == F.col("_seg"), name("_nr")).alias("to")))
     nodes = (u.filter(is_rise)
-              .select(F.col(seq).alias("node"), key, ts, "_seg", "_next_f")
+              .select(name(seq).alias("node"), key, ts, F.col(seq).alias("_armed"), "_seg", "_next_f")
               .join(nxt, "node"))
     nodes, _ = materialize(nodes, "rise-nodes")
-
-    # 4. the chains: start at the first rise of every segment, then double
-    reached = (nodes.groupBy(key, "_seg")
-                    .agg(F.min_by("node", F.struct(ts, "node")).alias("node"))
-                    .select("node"))
+    release(s)
+
+    # 4. the chains: start at the first rise of every segment, then double;
+    #    nodes without a successor leave the pointer table, so it empties
+    #    after log2 of the longest chain
+    reached, _ = materialize(
+        nodes.groupBy(key, "_seg").agg(F.min_by("node", F.struct(ts, "_armed")).alias("node"))
+             .select("node"), "rise-reached")
     jump, n_jump = materialize(
         nodes.filter(F.col("to").isNotNull()).select("node", "to"), "rise-jump")
-    for _ in range(max_rounds):
-        if n_jump == 0:
-            break
+    while n_jump:
         step = reached.join(jump, "node").select(F.col("to").alias("node"))
-        reached, _ = materialize(reached.unionByName(step).distinct(), "rise-reached")
+        further, _ = materialize(reached.unionByName(step).distinct(), "rise-reached")
         a, b = jump.alias("a"), jump.alias("b")
-        jump, n_jump = materialize(
+        squared, n_jump = materialize(
             a.join(b, F.col("a.to") == F.col("b.node"))
              .select(F.col("a.node").alias("node"), F.col("b.to").alias("to")), "rise-jump")
-    else:
-        raise RuntimeError("rise_alert: chain longer than 2**max_rounds")
+        release(reached, jump)
+        reached, jump = further, squared
 
     # 5. which arms fire
     end_wm = df.agg(F.max(ts)).scalar()          # scalar subquery, one value
@@ -112,5 +118,5 @@ def rise_alert(df: DataFrame, key: str = "id", order: Sequence[str] = ("ts", "se
              | (F.col("_next_f").isNotNull() & (F.col("_next_f") >= deadline))
              | (F.col("_next_f").isNull() & (deadline <= F.col("_end_wm"))))
     return (arms.filter(fired)
-                .select(F.col(key), deadline.alias("ts"), F.col("node").alias("armed_seq"),
-                        F.format_string(MESSAGE, F.col(key), F.lit(hold)).alias("message")))
+                .select(F.col(key), deadline.alias("ts"), F.col("_armed").alias("armed_seq"),
+                        message(MESSAGE, key, F.lit(hold)).alias("message")))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairo.plans.scan import Agg, prefix_scan
+from kairo.session import materialize
 
 
 def rolling_sum(df: DataFrame, key: str, order: Sequence[str], field: str, *,
@@ -19,7 +20,7 @@ def rolling_sum(df: DataFrame, key: str, order: Sequence[str], field: str, *,
     """A1: running sum of ``field`` per key.
 
     As in a keyed ``sum(field)``, the other (non-key, non-order) fields are
-    those of the key's *first* row (``carry="first"``) or of the current row
+    those of the key's *first* row, nulls included (``carry="first"``), or of the current row
     (``carry="current"``); the order columns always identify the current
     row.  ``field`` may be the key itself (the reference sums its key field).
     """
@@ -27,10 +28,11 @@ def rolling_sum(df: DataFrame, key: str, order: Sequence[str], field: str, *,
     others = [c for c in df.columns if c not in (key, field, *order)]
     aggs = [Agg("_sum", "sum", field)]
     if carry == "first":
-        aggs += [Agg(f"_first_{c}", "first", c) for c in others]
+        # wrapped, so that a null in the first row stays the first value
+        aggs += [Agg(f"_first_{c}", "first", F.struct(F.col(c).alias("v"))) for c in others]
     out = prefix_scan(df, [key], order, aggs)
     if carry == "first":
-        out = out.withColumns({c: F.col(f"_first_{c}") for c in others}).drop(
+        out = out.withColumns({c: F.col(f"_first_{c}.v") for c in others}).drop(
             *[f"_first_{c}" for c in others])
     if field == key:
         return out.select(*[F.col("_sum").alias(c) if c == field else F.col(c)
@@ -77,8 +79,10 @@ def keyed_and_bucket_counts(df: DataFrame, key: str, order: Sequence[str],
 
     Output ``(key, order..., bucket, keyed_count, bucket_count)``.
     """
-    m = df.filter(predicate).withColumn("bucket", bucket)
-    m = prefix_scan(m, [key], order, [Agg("keyed_count", "count", F.lit(1))])
+    # written once: each scan reads its rows for statistics and for the result
+    m, _ = materialize(df.filter(predicate).withColumn("bucket", bucket), "bucket-rows")
+    m, _ = materialize(prefix_scan(m, [key], order, [Agg("keyed_count", "count", F.lit(1))]),
+                       "bucket-keyed")
     return prefix_scan(m, ["bucket"], order, [Agg("bucket_count", "count", F.lit(1))])
 
 

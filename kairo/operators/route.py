@@ -13,20 +13,34 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kairo.functions.scalar import message
 
 
 def route(df: DataFrame, outputs: dict[str, tuple[Column | None, dict[str, Column]]]) -> DataFrame:
     """Tagged multi-output: for each ``kind`` a predicate (``None`` = all
     rows) and a projection.  Columns missing in a projection are null."""
-    parts = []
+    columns = list(dict.fromkeys(n for _, proj in outputs.values() for n in proj))
+    rows = []
     for kind, (pred, proj) in outputs.items():
-        sel = df if pred is None else df.filter(pred)
-        parts.append(sel.select(F.lit(kind).alias("kind"),
-                                *[c.alias(n) for n, c in proj.items()]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+        row = F.struct(F.lit(kind).alias("kind"), *[
+            proj.get(n, F.lit(None)).alias(n) for n in columns])
+        rows.append(row if pred is None else F.when(pred, row))
+    # one array of tagged rows per input row: the input is read once
+    return (df.select(F.explode(F.array_compact(F.array(*_typed(df, rows)))).alias("_r"))
+            .select("_r.*"))
+
+
+def _typed(df: DataFrame, rows: list[Column]) -> list[Column]:
+    """Cast the tagged rows to one type: each field's type is that of the
+    first output that has it."""
+    kinds = [df.select(r.alias("r")).schema["r"].dataType for r in rows]
+    fields = []
+    for i, f in enumerate(kinds[0].fields):
+        known = [k.fields[i].dataType for k in kinds if k.fields[i].dataType != T.NullType()]
+        fields.append(T.StructField(f.name, known[0] if known else T.NullType()))
+    return [r.cast(T.StructType(fields)) for r in rows]
 
 
 def split(routed: DataFrame) -> Callable[[str], DataFrame]:
@@ -40,7 +54,7 @@ def freezing_monitor(df: DataFrame, *, key: str = "id", value: str = "temperatur
     a ``side`` message ``Freezing Alarm for <id>``."""
     main = {c: F.col(c) for c in df.columns}
     side = {c: F.col(c) for c in (key, "ts", "seq") if c in df.columns}
-    side["message"] = F.format_string("Freezing Alarm for %s", F.col(key))
+    side["message"] = message("Freezing Alarm for %s", key)
     return route(df, {"main": (None, main), "side": (F.col(value) < F.lit(below), side)})
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kairo.functions.scalar import fahrenheit_to_celsius
 from kairo.functions.windowing import tumbling
@@ -104,13 +105,18 @@ def early_fire(df: DataFrame, key: str = "id", ts: str = "ts",
         F.max("_mv").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(value),
         F.lead("_p").over(w).alias("_next"))
     step = F.expr(f"interval {pane}")
-    upto = F.least(F.coalesce(F.col("_next"), F.col("_w.end")), F.col("_w.end"))
-    early = (run.filter(F.col("_p") < F.col("_w.end"))
-             .select(F.col(key), F.col("_w.end").alias("end_ts"),
-                     F.explode(F.sequence(F.col("_p"), upto - step, step)).alias("fire_ts"),
-                     F.col(ts), F.col(value), F.lit(False).alias("final")))
-    final = (run.filter(F.col("_next").isNull())
-             .select(F.col(key), F.col("_w.end").alias("end_ts"),
-                     F.col("_w.end").alias("fire_ts"), F.col(ts), F.col(value),
-                     F.lit(True).alias("final")))
-    return early.unionByName(final)
+    end = F.col("_w.end")
+    upto = F.least(F.coalesce(F.col("_next"), end), end)
+    # pane ends before the next pane with data (or the window's end); a pane that
+    # ends after its window, where panes do not divide it, fires at the end only
+    fires = F.when(F.col("_p") < upto, F.filter(
+        F.sequence(F.col("_p"), upto, step), lambda t: t < upto))
+    early = F.transform(F.coalesce(fires, F.array().cast("array<timestamp>")
+                                   if df.schema[ts].dataType == T.TimestampType()
+                                   else F.array().cast("array<timestamp_ntz>")),
+                        lambda t: F.struct(t.alias("fire_ts"), F.lit(False).alias("final")))
+    last = F.when(F.col("_next").isNull(), F.struct(end.alias("fire_ts"), F.lit(True).alias("final")))
+    every = F.concat(early, F.array_compact(F.array(last)))
+    return (run.select(F.col(key), end.alias("end_ts"), F.explode(every).alias("_f"),
+                       F.col(ts), F.col(value))
+            .select(key, "end_ts", "_f.fire_ts", ts, value, "_f.final"))

@@ -20,7 +20,7 @@ from kairo.functions.scalar import split_explode
 from kairo.functions.windowing import assign_windows, fixed_assigner
 from kairo.sources.tables import (
     levels_from_events, read_table, readings, switches_from_events,
-    thresholds_from_events, with_disorder,
+    thresholds_from_events,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
 
 
+def with_disorder(df: DataFrame, *, seq: str = "seq", ts: str = "ts",
+                  out: str = "et", multiplier: int = 48271,
+                  spread_s: int = 25200) -> DataFrame:
+    """Deterministic event-time disorder used by the late-data queries:
+    ``et = ts + ((seq * multiplier) % spread_s) seconds``.  Arrival order
+    stays ``seq``, so rows now arrive out of event-time order."""
+    shift = (F.col(seq) * F.lit(multiplier)) % F.lit(spread_s)
+    return df.withColumn(out, F.col(ts) + F.make_dt_interval(secs=shift.cast("decimal(18,6)")))
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -235,7 +245,7 @@ def q_side_outputs(spark, sf_dir):
 @register("jump_alert", """
 SELECT id, ts, seq, temperature, temp_diff FROM (
   SELECT user_id AS id, ts, event_id AS seq, value AS temperature,
-         abs(value - coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0.0))
+         abs(value - lag(value, 1, 0.0) OVER (PARTITION BY user_id ORDER BY ts, event_id))
            AS temp_diff
   FROM events) q
 WHERE temp_diff > 1.7

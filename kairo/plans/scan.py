@@ -4,34 +4,30 @@ Most operators of this library are *running* computations along a key's
 event-time order: previous value (lag), running sum / count / max, the last
 non-null control value seen so far (as-of lookups), the global running
 maximum of event time (arrival watermark).  The direct form is a window
-``partitionBy(key).orderBy(ts, seq)`` — one hash exchange on the key, but a
-key holding a third of all rows then lands in a single task.
-
-``prefix_scan`` splits every *hot* key's ordered rows into contiguous chunks
-and scans the chunks in parallel:
-
-1. Key statistics ``(count, min, max)`` of the first order column, built with
-   partial aggregation (one row per key).  Keys with more than
-   ``chunk_rows`` rows are hot; there are at most ``total / chunk_rows`` of
-   them, which bounds the broadcast of their statistics.
-2. A hot key's order range is cut into ``ceil(count / chunk_rows)`` equal
-   slices; the slice index is ``_chunk`` (0 for every other key).  The chunk
-   is a pure function of the row and the statistics, so every branch of the
-   plan, and every task retry, assigns the same chunk.
-3. A window over ``(key, _chunk)`` computes each running value inside the
-   chunk — the only exchange of full rows.
-4. One summary row per ``(key, _chunk)`` (partial aggregation, at most
-   ``#keys + #chunks`` rows) and a window over these rows give the carry from
-   all earlier chunks of the key; it is joined back on ``(key, _chunk)``
-   (only the summary side moves; adaptive execution broadcasts it when its
-   measured size allows) and combined with the in-chunk value.
-
-Without keys the same plan gives a global scan (e.g. a running maximum over
-arrival order) cut into ``total / chunk_rows`` slices.
-
-Slices are equal in *order range*, so they are balanced when a key's rows are
-spread over its time range; a burst inside one slice stays in one task.
-``chunk_rows=None`` uses the direct window.
+``partitionBy(key).orderBy(ts, seq)``, but a key holding a third of all rows
+then lands in a single task.  ``prefix_scan`` cuts such keys into slices:
+
+1. One aggregation counts rows per key (partial aggregation before the
+   exchange).  Keys with more than ``chunk_rows`` rows are *hot*.  A scan
+   without keys is one key that is always cut, into at least as many slices
+   as there are shuffle partitions.
+2. Slices have equal numbers of rows: their bounds are approximate quantiles
+   of the key's first order column.  Rows that share a bound's value form a
+   slice of their own, and where that value alone exceeds a slice (a burst) it
+   is cut again at quantiles of the second order column.  The slice is a pure
+   function of the row and the written bounds, so every branch of the plan and
+   every task retry assigns the same one.
+3. Rows are dealt once, by (key, slice).  A window over (key, slice) gives the
+   running values inside the slice.
+4. Hot keys only: one summary row per (key, slice), pre-aggregated, and a
+   window over these few rows give the carry of all earlier slices.  It is
+   joined back on (key, slice), by which the rows already lie, so only the
+   carry moves.
+
+Bounds and carry are broadcast only if their size, known from the count of hot
+keys and slices, is within ``BROADCAST_BYTES``.  Doubles are added in the order
+of rows inside a slice and of slices inside a key; everything else does not
+depend on the cut at all.
 """
 
 from __future__ import annotations
@@ -43,6 +39,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kairo.session import materialize, release
+
 _KINDS = ("sum", "count", "max", "min", "first", "last")
 
 @dataclass(frozen=True)
@@ -123,7 +121,11 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
 
 # Session setting for the rows per chunk of a hot key.
 CHUNK_ROWS_CONF = "kairo.scan.chunkRows"
-DEFAULT_CHUNK_ROWS = 2_000_000
+DEFAULT_CHUNK_ROWS = 500_000
+#: Most slices of one key; beyond it slices grow.
+MAX_SLICES = 10_000
+#: Largest table that a scan broadcasts.
+BROADCAST_BYTES = 8 << 20
 
 
 def default_chunk_rows(df: DataFrame) -> int:
@@ -152,121 +154,139 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot chunk on column {name} of type {dt}")
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], first_order: str,
-                chunk_rows: int) -> tuple[DataFrame, bool]:
-    """Add ``_chunk``: 0 for ordinary keys, the equal-range slice index of
-    ``first_order`` for keys with more than ``chunk_rows`` rows.
+def _key(keys: Sequence[str]) -> Column:
+    """The key as one value that is never null, so that plain equality also
+    matches null keys."""
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+
+
+def _quantiles(position: Column, slices: int) -> Column:
+    steps = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    return F.percentile_approx(position, steps, max(10_000, 20 * slices))
 
-    Returns the frame and whether any key is hot.  The hot-key table (at
-    most ``total / chunk_rows`` rows) is computed once — one pruned scan with
-    partial aggregation — and cached, so the row plan does not scan the
-    input again for it; being deterministic, it is recomputed identically if
-    an executor is lost.
-    """
-    keys = list(keys)
-    with_pos = df.withColumn("_pos", order_number(df, first_order))
-    stats = (with_pos.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"),
-                  F.max("_pos").alias("_hi")))
-    hot = (stats.filter(F.col("_n") > chunk_rows)
-           .select(*[F.col(k).alias(f"_hk_{j}") for j, k in enumerate(keys)],
-                   F.col("_lo"),
-                   ((F.col("_hi") - F.col("_lo") + 1)
-                    / F.ceil(F.col("_n") / chunk_rows)).alias("_span"))).cache()
-    if hot.isEmpty():
-        hot.unpersist()
-        return df.withColumn("_chunk", F.lit(0).cast("long")), False
-    hot = F.broadcast(hot)          # bounded: at most total/chunk_rows rows
-    if keys:
-        cond = None
-        for j, k in enumerate(keys):
-            c = F.col(k).eqNullSafe(F.col(f"_hk_{j}"))
-            cond = c if cond is None else cond & c
-        joined = with_pos.join(hot, cond, "left")
-    else:
-        joined = with_pos.join(hot, how="left")
-    chunk = F.when(F.col("_span").isNull(), F.lit(0)).otherwise(
-        F.floor((F.col("_pos") - F.col("_lo")) / F.col("_span"))).cast("long")
-    out = joined.withColumn("_chunk", chunk).drop(
-        "_pos", "_lo", "_span", *[f"_hk_{j}" for j in range(len(keys))])
-    return out, True
+
+@dataclass(frozen=True)
+class Chunks:
+    """The cut of a frame: ``rows`` with ``_chunk`` and ``_hot``; ``slices``
+    bounds the number of (key, slice) pairs of hot keys (0: none is hot)."""
+
+    rows: DataFrame
+    slices: int
+
+
+def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                chunk_rows: int) -> Chunks:
+    """Add ``_chunk``, the slice of each row along ``order`` inside its key
+    (0 throughout for keys of at most ``chunk_rows`` rows), and ``_hot``."""
+    keys, order = list(keys), list(order)
+    spark = df.sparkSession
+    counted = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")) \
+        if keys else df.agg(F.count(F.lit(1)).alias("_n"))
+    least = chunk_rows if keys else 0
+    hot, n_hot = materialize(counted.filter(F.col("_n") > least)
+                             .select(_key(keys).alias("_hk"), "_n"), "scan-hot")
+    plain = df.withColumns({"_chunk": F.lit(0).cast("long"), "_hot": F.lit(False)})
+    if n_hot == 0:
+        release(hot)
+        return Chunks(plain, 0)
+    most = hot.agg(F.max("_n")).first()[0]
+    slices = max(2, min(MAX_SLICES, -(-most // chunk_rows)))
+    if not keys:
+        slices = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    small = _maybe_broadcast(hot.select("_hk"), n_hot, 128)
+    first = df.withColumns({"_ck": _key(keys), "_pos": order_number(df, order[0])})
+    bounds, _ = materialize(
+        first.select("_ck", "_pos", *order[1:2]).join(small, F.col("_ck") == F.col("_hk"))
+        .groupBy("_hk").agg(_quantiles(F.col("_pos"), slices).alias("_q"))
+        .select("_hk", F.array_distinct("_q").alias("_bounds"),
+                F.filter(F.array_distinct("_q"), lambda v: F.size(
+                    F.filter(F.col("_q"), lambda w: w == v)) > 1).alias("_bursts")), "scan-bounds")
+    cut = _maybe_broadcast(bounds, n_hot, 128 + 16 * slices)
+    placed = first.join(cut, F.col("_ck") == F.col("_hk"), "left")
+    below = F.size(F.filter("_bounds", lambda v: v < F.col("_pos")))
+    slot = F.when(F.col("_hk").isNull(), F.lit(0)).otherwise(F.coalesce(
+        2 * below + F.array_contains("_bounds", F.col("_pos")).cast("int"), F.lit(0))).cast("long")
+    part, total = F.lit(0), 2 * slices * n_hot
+    if len(order) > 1 and not bounds.filter("size(_bursts) > 0").isEmpty():
+        second = order_number(df, order[1])
+        inner, n_inner = materialize(
+            placed.filter(F.array_contains("_bursts", F.col("_pos")))
+            .withColumn("_pos2", second).groupBy(F.col("_hk").alias("_bk"), F.col("_pos").alias("_bp"))
+            .agg(F.array_distinct(_quantiles(F.col("_pos2"), slices)).alias("_inner")), "scan-bursts")
+        placed = placed.join(_maybe_broadcast(inner, n_inner, 128 + 8 * slices),
+                             (F.col("_ck") == F.col("_bk")) & (F.col("_pos") == F.col("_bp")), "left")
+        part = F.coalesce(F.size(F.filter("_inner", lambda v: v < second)), F.lit(0))
+        part = F.when(F.col("_inner").isNull(), F.lit(0)).otherwise(part)
+        total += slices * n_inner
+    rows = placed.withColumns({"_chunk": F.shiftleft(slot, 20) + part,
+                               "_hot": F.col("_hk").isNotNull()}).select(*df.columns, "_chunk", "_hot")
+    release(hot)
+    return Chunks(rows, total)
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 aggs: Sequence[Agg], *, chunk_rows: int | None | str = "auto",
-                chunk_col: str | None = None) -> DataFrame:
+                chunks: Chunks | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value along ``order`` within
     each ``keys`` group (all rows when ``keys`` is empty).
 
     ``order`` must be a total order inside a key (e.g. ``ts, seq``).
     ``chunk_rows="auto"`` reads the session setting ``kairo.scan.chunkRows``;
-    ``None`` disables chunking (direct window).
-
-    ``chunk_col`` names a chunk column already on ``df`` (from
-    ``with_chunks`` with the same keys and first order column); chained
-    scans then share one chunking, and the input is referenced twice
-    instead of four times.  The column is kept in the output.
+    ``None`` disables slicing (direct window).  ``chunks`` reuses a cut of the
+    same keys and order whose rows are ``df`` with ``_chunk`` and ``_hot``;
+    both columns then stay in the output.
     """
     keys, order = list(keys), list(order)
     if chunk_rows == "auto":
         chunk_rows = default_chunk_rows(df)
     inputs = {f"_in{i}": _col(a.expr) for i, a in enumerate(aggs)}
-    base = df.withColumns(inputs)
 
     def frame(w, inclusive):
         return w.rowsBetween(Window.unboundedPreceding,
                              Window.currentRow if inclusive else -1)
 
-    chunked = None
-    if chunk_col is not None:
-        chunked = base.withColumn("_chunk", F.col(chunk_col))
-    elif chunk_rows is not None:
-        chunked, any_hot = with_chunks(base, keys, order[0], int(chunk_rows))
-        if not any_hot:
-            chunked = None
-
-    if chunked is None:
-        # no hot key: every key fits one task; the direct window
+    kept = chunks is not None
+    if chunks is None and chunk_rows is not None:
+        chunks = with_chunks(df, keys, order, int(chunk_rows))
+        df = chunks.rows
+    base = df.withColumns(inputs)
+    if chunks is None or chunks.slices == 0:
+        # every key fits one task: the slice would be the whole key
         w = Window.partitionBy(*keys).orderBy(*order)
         out = base.withColumns({
             a.name: _window_fn(a.kind, F.col(f"_in{i}")).over(frame(w, a.inclusive))
-            for i, a in enumerate(aggs)})
-        return out.drop(*inputs)
-
-    # (3) running values inside each chunk
-    wl = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    local = chunked.withColumns({
+            for i, a in enumerate(aggs)}).drop(*inputs)
+        return out if kept else out.drop("_chunk", "_hot")
+
+    # rows are dealt once, for the window and the join; the summary is a partial
+    # aggregation, of which only one row per task and slice moves
+    named = base.withColumn("_ck", _key(keys))
+    dealt = named.repartition("_ck", "_chunk")
+    wl = Window.partitionBy("_ck", "_chunk").orderBy(*order)
+    local = dealt.withColumns({
         f"_loc{i}": _window_fn(a.kind, F.col(f"_in{i}")).over(frame(wl, a.inclusive))
         for i, a in enumerate(aggs)})
-
-    # (4) one row per (key, chunk), then the carry from earlier chunks
     order_struct = F.struct(*[F.col(o) for o in order])
-    summary = chunked.groupBy(*keys, "_chunk").agg(*[
+    summary = named.filter("_hot").groupBy("_ck", "_chunk").agg(*[
         _chunk_total(a.kind, F.col(f"_in{i}"), order_struct).alias(f"_tot{i}")
         for i, a in enumerate(aggs)])
-    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
+    wc = Window.partitionBy("_ck").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *[F.col(k).alias(f"_ck_{j}") for j, k in enumerate(keys)],
-        F.col("_chunk").alias("_cc"),
+        F.col("_ck").alias("_sk"), F.col("_chunk").alias("_sc"),
         *[_carry_fn(a.kind, F.col(f"_tot{i}")).over(wc).alias(f"_car{i}")
           for i, a in enumerate(aggs)])
-
-    cond = F.col("_chunk") == F.col("_cc")
-    for j, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_ck_{j}"))
-    joined = local.join(carry, cond, "left")
+    carry = _maybe_broadcast(carry, chunks.slices, 64 * (2 + len(aggs)))
+    joined = local.join(carry, (F.col("_ck") == F.col("_sk")) & (F.col("_chunk") == F.col("_sc")),
+                        "left")
     out = joined.withColumns({
         a.name: _combine(a.kind, F.col(f"_car{i}"), F.col(f"_loc{i}"))
         for i, a in enumerate(aggs)})
-    drop = list(inputs) + ["_cc"] + [f"_ck_{j}" for j in range(len(keys))]
-    if chunk_col is None:
-        drop.append("_chunk")
-    drop += [f"_loc{i}" for i in range(len(aggs))] + [f"_car{i}" for i in range(len(aggs))]
+    drop = [*inputs, "_ck", "_sk", "_sc", *[f"_loc{i}" for i in range(len(aggs))],
+            *[f"_car{i}" for i in range(len(aggs))]]
+    if not kept:
+        drop += ["_chunk", "_hot"]
     return out.drop(*drop)
-
-
-def lag_value(name: str, expr: Column | str) -> Agg:
-    """Previous non-null value of ``expr`` in the key's order (``lag`` that
-    skips rows where ``expr`` is null)."""
-    return Agg(name, "last", expr, inclusive=False)

@@ -46,7 +46,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 

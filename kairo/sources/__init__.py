@@ -3,13 +3,13 @@ replayed streams (S1, S2) and in-memory fixtures (S3, S4)."""
 
 from kairo.sources.tables import (
     read_table, readings, levels_from_events, thresholds_from_events,
-    switches_from_events, with_disorder,
+    switches_from_events,
 )
 from kairo.sources.replay import replay_stream, split_for_replay
 from kairo.sources.fixtures import rows_frame
 
 __all__ = [
     "read_table", "readings", "levels_from_events", "thresholds_from_events",
-    "switches_from_events", "with_disorder", "replay_stream", "split_for_replay",
+    "switches_from_events", "replay_stream", "split_for_replay",
     "rows_frame",
 ]

@@ -65,13 +65,3 @@ def switches_from_events(events: DataFrame, control_type: str = "signup",
             .select(F.col("user_id").alias("id"), F.col("ts"),
                     F.lit(duration_ms).cast("long").alias("duration_ms"),
                     F.col("event_id").alias("seq")))
-
-
-def with_disorder(df: DataFrame, *, seq: str = "seq", ts: str = "ts",
-                  out: str = "et", multiplier: int = 48271,
-                  spread_s: int = 25200) -> DataFrame:
-    """Deterministic event-time disorder used by the late-data queries:
-    ``et = ts + ((seq * multiplier) % spread_s) seconds``.  Arrival order
-    stays ``seq``, so rows now arrive out of event-time order."""
-    shift = (F.col(seq) * F.lit(multiplier)) % F.lit(spread_s)
-    return df.withColumn(out, F.col(ts) + F.make_dt_interval(secs=shift.cast("decimal(18,6)")))

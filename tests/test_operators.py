@@ -215,3 +215,66 @@ def test_late_updates_allowance(spark, both_paths):
     main, late = op.late_window_split(df, bound_s=0, size="10 seconds")
     assert sorted(r["seq"] for r in late.collect()) == [2, 4]
     assert sorted(r["late_count"] for r in op.late_counts(df, bound_s=0).collect()) == [2]
+
+
+# ------------------------------------------------------------------ null readings, repeated seq
+def test_rolling_sum_keeps_a_null_first_value(spark, both_paths):
+    df = spark.createDataFrame([("a", 1.0, None, 0), ("a", 2.0, "x", 1), ("b", 5.0, "y", 2)],
+                               "k string, v double, note string, seq long")
+    out = op.rolling_sum(df, "k", ["seq"], "v").orderBy("seq").collect()
+    assert [(r["v"], r["note"]) for r in out] == [(1.0, None), (3.0, None), (5.0, "y")]
+
+
+def test_jump_alert_null_readings(spark, both_paths):
+    df = spark.createDataFrame(
+        [("a", at(0), 1.0, 0), ("a", at(1), None, 1), ("a", at(2), 9.0, 2), ("a", at(3), 1.0, 3)],
+        "id string, ts timestamp, temperature double, seq long")
+    assert [r["seq"] for r in op.jump_alert(df, threshold=1.75).collect()] == [3]
+    assert [r["seq"] for r in op.jump_alert_ttl(df, threshold=1.75).collect()] == [3]
+
+
+def test_rise_alert_seq_may_repeat_across_keys(spark, both_paths):
+    rows = [(0.0, 1.0), (0.1, 2.0), (1.2, 3.0), (2.5, 4.0), (2.6, 1.0), (3.0, 2.0), (9.0, 3.0)]
+    same = spark.createDataFrame([(k, at(s), v, n) for k in ("a", "b") for n, (s, v) in enumerate(rows)],
+                                 "id string, ts timestamp, temperature double, seq long")
+    own = spark.createDataFrame([(k, at(s), v, 100 * i + n) for i, k in enumerate(("a", "b"))
+                                 for n, (s, v) in enumerate(rows)],
+                                "id string, ts timestamp, temperature double, seq long")
+    got = [sorted((r["id"], r["ts"], r["armed_seq"] % 100) for r in op.rise_alert(d).collect())
+           for d in (same, own)]
+    assert got[0] == got[1] and got[0]
+
+
+# ------------------------------------------------------------------ one pass
+def _scans(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_early_fire_pane_need_not_divide_the_window(spark):
+    df = readings(spark, [("a", 10, 1.0), ("a", 50, 3.0), ("a", 70, 2.0)])
+    got = [(r["end_ts"], r["fire_ts"], r["temperature"], r["final"]) for r in
+           op.early_fire(df, size="1 minute", pane="45 seconds").orderBy("end_ts", "fire_ts").collect()]
+    # panes end at multiples of 45 s from the epoch: 0:45, 1:30; the first window's second
+    # pane ends after the window, so it shows in the final row only
+    assert got == [(at(60), at(45), 1.0, False), (at(60), at(60), 3.0, True),
+                   (at(120), at(90), 2.0, False), (at(120), at(120), 2.0, True)]
+
+
+def test_route_and_early_fire_read_once(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.col("user_id").alias("id"), "ts", F.col("value").alias("temperature"),
+        F.col("event_id").alias("seq"))
+    assert _scans(op.freezing_monitor(ev)) == 1
+    assert _scans(op.early_fire(ev, size="1 day", pane="1 hour")) == 1
+
+
+# ------------------------------------------------------------------ scalar helpers
+def test_scalar_helpers(spark):
+    from kairo.functions.scalar import abs_diff, bucket_start, message, pair_max, pair_min, tuple_of
+    df = spark.createDataFrame([(3.0, 5.0, at(7), "k"), (2.0, -1.0, at(-1), "m")],
+                               "a double, b double, ts timestamp, id string")
+    got = df.select(abs_diff("a", "b"), pair_max("a", "b"), pair_min("a", "b"),
+                    tuple_of("id", "a").alias("t"), message("%s!", "id"),
+                    bucket_start("ts", "5 seconds")).collect()
+    assert tuple(got[0]) == (2.0, 5.0, 3.0, ("k", 3.0), "k!", at(5))
+    assert tuple(got[1]) == (3.0, 2.0, -1.0, ("m", 2.0), "m!", at(-5))

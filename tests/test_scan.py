@@ -33,15 +33,62 @@ def test_chunked_equals_direct(spark, keys, chunk_rows):
     assert _rows(direct) == _rows(chunked)
 
 
+def _sizes(chunks):
+    return [r["n"] for r in chunks.rows.groupBy("_chunk").agg(F.count("*").alias("n")).collect()]
+
+
 def test_hot_key_is_split(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("k", F.lit(1))
-    out, any_hot = with_chunks(ev, ["k"], "ts", 1000)
-    assert any_hot
-    sizes = [r["n"] for r in out.groupBy("_chunk").agg(F.count("*").alias("n")).collect()]
-    assert len(sizes) == 10 and max(sizes) < 2000
+    cut = with_chunks(ev, ["k"], ["ts", "event_id"], 1000)
+    sizes = _sizes(cut)
+    assert cut.slices and sum(sizes) == ev.count() and len(sizes) >= 10 and max(sizes) < 2000
+
+
+def test_burst_is_split(spark):
+    """90 % of all rows in one key, within three timestamps."""
+    ev = spark.range(20_000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id") % 40).alias("k"),
+        F.timestamp_seconds(F.when(F.col("id") % 10 > 0, F.col("id") % 3)
+                            .otherwise(F.col("id"))).alias("ts"),
+        (F.col("id") * 7919 % 101).cast("double").alias("value"),
+        F.when(F.col("id") % 11 == 0, "error").otherwise("view").alias("event_type"))
+    cut = with_chunks(ev, ["k"], ["ts", "event_id"], 1000)
+    by = [r["n"] for r in cut.rows.groupBy("k", "_chunk").agg(F.count("*").alias("n")).collect()]
+    assert max(by) <= 2000
+    want = prefix_scan(ev, ["k"], ["ts", "event_id"], aggs(), chunk_rows=None)
+    assert _rows(want) == _rows(prefix_scan(ev, ["k"], ["ts", "event_id"], aggs(), chunk_rows=1000))
+
+
+def test_null_keys_are_a_key(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn(
+        "k", F.when(F.col("event_id") % 3 == 0, F.col("user_id") % 5))
+    want = prefix_scan(ev, ["k"], ["ts", "event_id"], aggs(), chunk_rows=None)
+    assert _rows(want) == _rows(prefix_scan(ev, ["k"], ["ts", "event_id"], aggs(), chunk_rows=500))
+
+
+def test_rows_are_dealt_once(spark):
+    """Without broadcasts, the plan deals the full rows in one exchange."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("hot", F.col("user_id") % 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prefix_scan(ev, ["hot"], ["ts", "event_id"], aggs(), chunk_rows=500)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [x for x in plan.splitlines() if "Exchange " in x]
+    rows = [x for x in dealt if "REPARTITION" in x]
+    assert len(rows) == 1 and "_chunk" in rows[0]
+    # the others move partial aggregates and the carry
+    assert len([x for x in dealt if "hashpartitioning" in x and "REPARTITION" not in x]) <= 2
+
+
+def test_no_hot_key_is_not_cut(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    assert with_chunks(ev, ["user_id"], ["ts", "event_id"], 10_000).slices == 0
 
 
-def test_no_hot_key_uses_direct_window(spark):
+def test_scan_without_keys_is_always_cut(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
-    _, any_hot = with_chunks(ev, ["user_id"], "ts", 10_000)
-    assert not any_hot
+    sizes = _sizes(with_chunks(ev, [], ["event_id"], 10_000_000))
+    assert len(sizes) >= 8 and max(sizes) < 0.3 * sum(sizes)

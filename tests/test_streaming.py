@@ -172,7 +172,7 @@ def test_ordered_jump_alert_ignores_arrival_order(spark, events):
 
 def test_late_rows_stream_subset_of_batch(spark):
     from conftest import SF001
-    from kairo.sources.tables import with_disorder
+    from kairo.plans.catalog import with_disorder
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     r = with_disorder(readings_of(ev), seq="seq", ts="ts", out="et").withColumn(
         "et", F.col("et").cast("timestamp"))
