@@ -80,14 +80,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+def materialize(df: DataFrame, name: str, *, compressed: bool = True) -> tuple[DataFrame, int]:
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
     (one job; the row count comes from an observation on that job) and read
-    it back.  The files survive executor loss; ``release`` deletes them."""
+    it back.  The files survive executor loss; ``release`` deletes them.
+    ``compressed=False`` suits hashes and ids, which do not compress, and
+    spares the executors the codecs' direct buffers."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(
+        path, compression=None if compressed else "uncompressed")
     out = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[out] = path
     return out, int(obs.get["n"])
