@@ -9,6 +9,9 @@ order, one micro-batch per slice.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +19,26 @@ from pyspark.sql import types as T
 
 def split_for_replay(df: DataFrame, path: str, n_slices: int, *,
                      order: str = "seq") -> str:
-    """Write ``df`` to ``path`` as ``n_slices`` files in arrival order."""
-    bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    step = max(1, (hi - lo + n_slices) // n_slices)
-    for i in range(n_slices):
-        a, b = lo + i * step, lo + (i + 1) * step
-        (df.filter((F.col(order) >= a) & (F.col(order) < b))
-           .coalesce(1).write.mode("append").parquet(path))
+    """Write ``df`` to ``path`` as ``n_slices`` files in arrival order, in one
+    pass: the input is range-partitioned by ``order`` into one file each.  File
+    streams read files by modification time, so the slices are then committed
+    one after the other."""
+    staged = df.repartitionByRange(n_slices, order).sortWithinPartitions(order)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    staging = f"{path}-staging-{uuid.uuid4().hex}"
+    staged.write.parquet(staging)
+    at, to = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    fs.mkdirs(to)
+    names = sorted(f.getPath().getName() for f in fs.listStatus(at)
+                   if f.getPath().getName().startswith("part-"))
+    # distinct times before now, so a later call's slices come after these
+    begin = int(time.time() * 1000) - len(names)
+    for i, name in enumerate(names):
+        source = jvm.org.apache.hadoop.fs.Path(at, name)
+        fs.setTimes(source, begin + i, -1)
+        fs.rename(source, jvm.org.apache.hadoop.fs.Path(to, name))
+    fs.delete(at, True)
     return path
 
 
@@ -35,8 +50,3 @@ def replay_stream(spark: SparkSession, path: str, schema: T.StructType, *,
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
-
-
-def event_stream(spark: SparkSession, sf_dir: str, schema: T.StructType) -> DataFrame:
-    """Stream the driver's ``events`` table in place (single file)."""
-    return replay_stream(spark, sf_dir, schema, glob="events.parquet")

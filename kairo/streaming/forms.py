@@ -17,8 +17,7 @@ from kairo.operators.windows import window_agg
 from kairo.streaming import processors as P
 from kairo.streaming.time import as_event_time
 
-ALERT = "id long, ts timestamp, seq long, temperature double, temp_diff double"
-MESSAGE_ALERT = "id long, ts timestamp, message string"
+ALERT = "t long, seq long, temperature double, temp_diff double"
 
 
 def _interval_us(spark: SparkSession, text: str) -> int:
@@ -30,36 +29,40 @@ def _key_type(df: DataFrame, key: str) -> str:
     return df.schema[key].dataType.simpleString()
 
 
-def jump_alert_stream(df: DataFrame, threshold: float = 1.7, *, initial: float | None = 0.0,
-                      key: str = "id", delay: str = "5 seconds",
-                      ordered: bool = False) -> DataFrame:
-    """X1 stream.  ``ordered=True`` buffers rows until the watermark passes
-    them and folds in event-time order (independent of arrival order)."""
+def _ordered(df: DataFrame, delay: str) -> DataFrame:
+    """Watermark, and the columns that ordered processors read: the event
+    time as LONG microseconds and the source (1 for readings)."""
     df = as_event_time(df).withWatermark("ts", delay)
-    schema = ALERT.replace("id long", f"id {_key_type(df, key)}")
-    return df.groupBy(key).transformWithState(
-        P.JumpAlert(threshold, initial, ordered), schema, "Append",
-        "EventTime" if ordered else "None")
+    df = df.withColumn("_t", F.unix_micros("ts"))
+    return df if "_src" in df.columns else df.withColumn("_src", F.lit(1))
+
+
+def _fold(df: DataFrame, by: str, processor: P.Ordered, schema: str, *,
+          mode: str = "EventTime", key: str | None = None) -> DataFrame:
+    out = df.groupBy(by).transformWithState(
+        processor, f"id {_key_type(df, key or by)}, {schema}", "Append", mode)
+    return out.select(*[F.timestamp_micros("t").alias("ts") if c == "t" else c for c in out.columns])
+
+
+def jump_alert_stream(df: DataFrame, threshold: float = 1.7, *, initial: float | None = 0.0,
+                      key: str = "id", delay: str = "5 seconds") -> DataFrame:
+    """X1 stream."""
+    return _fold(_ordered(df, delay), key, P.JumpAlert(threshold, initial), ALERT)
 
 
 def jump_alert_ttl_stream(df: DataFrame, threshold: float = 1.5, ttl: str = "1 hour", *,
                           key: str = "id", delay: str = "5 seconds") -> DataFrame:
-    """X2 stream: event-time timers clear a key's state ``ttl`` after its
-    last row (the built-in state TTL is processing-time only)."""
-    df = as_event_time(df).withWatermark("ts", delay)
-    schema = ALERT.replace("id long", f"id {_key_type(df, key)}")
-    return df.groupBy(key).transformWithState(
-        P.JumpAlertTTL(threshold, _interval_us(df.sparkSession, ttl)), schema,
-        "Append", "EventTime")
+    """X2 stream: an event-time deadline clears a key's state ``ttl`` after
+    its last row (the built-in state TTL is processing-time only)."""
+    ttl_us = _interval_us(df.sparkSession, ttl)
+    return _fold(_ordered(df, delay), key, P.JumpAlertTTL(threshold, ttl_us), ALERT)
 
 
 def running_count_stream(df: DataFrame, predicate: Column, *, key: str = "id",
                          delay: str = "5 seconds") -> DataFrame:
     """A9 stream: one row per matching input with the key's running count."""
-    df = as_event_time(df).filter(predicate).withWatermark("ts", delay)
-    return df.groupBy(key).transformWithState(
-        P.RunningCount(), f"id {_key_type(df, key)}, ts timestamp, seq long, keyed_count long",
-        "Append", "None")
+    return _fold(_ordered(df.filter(predicate), delay), key, P.RunningCount(),
+                 "t long, seq long, keyed_count long")
 
 
 def _union(readings: DataFrame, control: DataFrame) -> DataFrame:
@@ -70,20 +73,16 @@ def _union(readings: DataFrame, control: DataFrame) -> DataFrame:
 
 def gate_stream(readings: DataFrame, switches: DataFrame, *, key: str = "id",
                 delay: str = "5 seconds", processing_time: bool = False) -> DataFrame:
-    """J1 stream: readings and switches keyed together; a timer at the gate
-    end clears the key's state.  ``processing_time=True``: the reference's
-    wall-clock gate (T6); meant for continuously running queries (a
-    ``processingTime`` trigger) — it is not exercised with ``availableNow``,
-    where pending wall-clock timers kept the test query from finishing."""
+    """J1 stream: readings and switches keyed together.
+    ``processing_time=True``: the reference's wall-clock gate (T6), for
+    continuously running queries (a ``processingTime`` trigger)."""
     sw = as_event_time(switches).select(
-        key, "ts", F.lit(-1).cast("long").alias("seq"), "duration_ms",
-        (F.col("ts") + F.make_dt_interval(
-            secs=(F.col("duration_ms") / 1000).cast("decimal(18,6)"))).alias("_gate_end"))
+        key, "ts", F.lit(-1).cast("long").alias("seq"),
+        (F.col("duration_ms") * 1000).alias("duration_us"))
     r = as_event_time(readings).select(key, "ts", "temperature", "seq")
-    u = _union(r, sw).withWatermark("ts", delay)
-    return u.groupBy(key).transformWithState(
-        P.Gate(processing_time), f"id {_key_type(u, key)}, ts timestamp, temperature double, seq long",
-        "Append", "ProcessingTime" if processing_time else "EventTime")
+    u = _ordered(_union(r, sw), delay).withColumn("ts_us", F.col("_t"))
+    return _fold(u, key, P.Gate(processing_time), "t long, temperature double, seq long",
+                 mode="ProcessingTime" if processing_time else "EventTime")
 
 
 def threshold_alert_stream(readings: DataFrame, thresholds: DataFrame, *, key: str = "id",
@@ -92,56 +91,59 @@ def threshold_alert_stream(readings: DataFrame, thresholds: DataFrame, *, key: s
     readings — no broadcast of the control stream is needed."""
     th = as_event_time(thresholds).select(key, "ts", "seq", "threshold")
     r = as_event_time(readings).select(key, "ts", "seq", "temperature")
-    u = _union(r, th).withWatermark("ts", delay)
-    schema = ALERT.replace("id long", f"id {_key_type(u, key)}")
-    return u.groupBy(key).transformWithState(P.ThresholdAlert(), schema, "Append", "None")
+    return _fold(_ordered(_union(r, th), delay), key, P.ThresholdAlert(), ALERT)
 
 
 def fire_risk_stream(readings: DataFrame, levels: DataFrame, *, above: float = 100.0,
-                     buckets: int = 8, key: str = "id", delay: str = "5 seconds") -> DataFrame:
+                     buckets: int | None = None, key: str = "id",
+                     delay: str = "5 seconds") -> DataFrame:
     """J2 + X5 stream.  The un-keyed level stream is replicated to
-    ``buckets`` buckets (``explode(sequence)``: control rows are few) and
-    readings are keyed by ``pmod(xxhash64(id), buckets)``, so the level state
-    is held per bucket and the readings spread over ``buckets`` tasks."""
+    ``buckets`` buckets (by default one per shuffle partition; control rows
+    are few) and readings are keyed by a hash of their key, so the level state
+    is held per bucket and the readings spread over as many tasks."""
+    n = buckets or int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lv = as_event_time(levels).select(
-        "ts", "seq", "level", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"))
+        "ts", "seq", "level", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_b"))
     r = as_event_time(readings).select(
         key, "ts", "seq", "temperature",
-        F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int").alias("_b"))
-    u = _union(r, lv).withWatermark("ts", delay)
-    schema = MESSAGE_ALERT.replace("id long", f"id {_key_type(u, key)}")
-    return u.groupBy("_b").transformWithState(P.LatestLevel(above), schema, "Append", "None")
+        F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int").alias("_b"))
+    u = _ordered(_union(r, lv), delay)
+    if key != "id":
+        u = u.withColumnRenamed(key, "id")
+    return _fold(u, "_b", P.LatestLevel(above, _key_type(u, "id")), "t long, message string",
+                 key="id")
 
 
 def rise_alert_stream(df: DataFrame, hold: str = "1 second", *, key: str = "id",
                       delay: str = "5 seconds", processing_time: bool = False) -> DataFrame:
-    """X3 stream: event-time timers fire once the watermark passes their
-    deadline; ``processing_time=True`` arms wall-clock timers as the
-    reference does (T6)."""
-    df = as_event_time(df).withWatermark("ts", delay)
+    """X3 stream: deadlines fire once the watermark passes them;
+    ``processing_time=True`` arms wall-clock timers as the reference does (T6)."""
     msg = MESSAGE % ("%s", hold)          # key filled in per alert
-    schema = MESSAGE_ALERT.replace("id long", f"id {_key_type(df, key)}")
-    return df.groupBy(key).transformWithState(
-        P.RiseAlert(_interval_us(df.sparkSession, hold), msg, processing_time), schema,
-        "Append", "ProcessingTime" if processing_time else "EventTime")
+    hold_us = _interval_us(df.sparkSession, hold)
+    return _fold(_ordered(df, delay), key, P.RiseAlert(hold_us, msg, processing_time),
+                 "t long, message string", mode="ProcessingTime" if processing_time else "EventTime")
 
 
 def late_rows_stream(df: DataFrame, *, bound: str = "5 seconds", key: str = "id",
                      et: str = "et") -> DataFrame:
-    """L2 + L4 stream: every row with its ``late`` flag (event time below
-    the watermark of its micro-batch) and the key's running late count.
+    """L2 + L4 stream: every row with its ``late`` flag and the key's running
+    late count.  A row is late if its event time is below the watermark of its
+    micro-batch, ``bound`` behind the largest event time of all *earlier*
+    micro-batches; the batch form judges by every earlier row.  The shorter
+    the trigger, the closer the two.
 
     Spark drops rows below the watermark before a stateful operator sees
     them, so data rows carry a null watermark column and are never dropped,
     while a narrow tick row per data row carries the event time and moves
-    the watermark (``bound`` behind the largest event time seen).  Ticks are
-    discarded in the processor."""
+    the watermark.  Ticks are discarded in the processor."""
     df = as_event_time(df, et)
-    both = df.select(key, et, "seq", F.explode(F.array(F.lit(False), F.lit(True))).alias("_tick"))
+    both = df.select(key, et, "seq", F.unix_micros(et).alias("_t"),
+                     F.explode(F.array(F.lit(False), F.lit(True))).alias("_tick"))
     both = both.withColumn("_wm", F.when(F.col("_tick"), F.col(et))).withWatermark("_wm", bound)
-    return both.groupBy(key).transformWithState(
-        P.LateDetector(), f"id {_key_type(df, key)}, et timestamp, seq long, late boolean, "
+    out = both.groupBy(key).transformWithState(
+        P.LateDetector(), f"id {_key_type(df, key)}, t long, seq long, late boolean, "
                           "late_count long", "Append", "EventTime")
+    return out.select("id", F.timestamp_micros("t").alias("et"), "seq", "late", "late_count")
 
 
 def window_agg_stream(df: DataFrame, key: str, size: str, aggs: dict[str, Column], *,

@@ -1,325 +1,319 @@
 """``StatefulProcessor`` classes: the stateful operators as streams.
 
-Each processor folds a key's rows in ``(ts, seq)`` order within a
-micro-batch (rows of later micro-batches are later in event time when the
-stream arrives in order, as a replayed table does).  Deadlines are checked
-against each row's own time, since expired timers of a key are handled only
-after that micro-batch's rows; timers then cover keys that receive no more
-rows.  Times in state are epoch microseconds; timers are in milliseconds.
+Event-time processors do not depend on arrival order.  A key's rows are
+appended to list state as they arrive; an event-time timer at the oldest of
+them folds every row up to the watermark in ``(time, source, seq)`` order and
+trims the buffer.  Deadlines (gate end, state expiry, rise timer) are settled in
+the same step, after the rows before them, so a stream folds exactly what the
+batch form folds.  Rows above the last watermark stay buffered.
+
+Times are LONG epoch microseconds (``_t``, made by Catalyst from the event
+time), so the worker's time zone plays no part; timers are in milliseconds.
 """
 
 from __future__ import annotations
 
-import calendar
-import time
-from datetime import datetime
-
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
-
-def _us(ts: datetime) -> int:
-    """Epoch microseconds of a row timestamp, converted the way PySpark
-    converts it (naive values are in the worker's local zone)."""
-    secs = calendar.timegm(ts.utctimetuple()) if ts.tzinfo else int(time.mktime(ts.timetuple()))
-    return secs * 1_000_000 + ts.microsecond
-
-
-def _ts(us: int) -> datetime:
-    return datetime.fromtimestamp(us // 1_000_000).replace(microsecond=us % 1_000_000)
-
-
-def _naive(ts: datetime) -> datetime:
-    """State reads may return zone-aware values; rows are naive local."""
-    if ts.tzinfo is None:
-        return ts
-    return datetime.fromtimestamp(ts.timestamp()).replace(microsecond=ts.microsecond)
+#: Columns that ``Ordered`` reads from every row, before the payload.
+ORDER = ("_t", "_src", "seq")
 
 
 def _ms_ceil(us: int) -> int:
     return -((-us) // 1000)
 
 
-def _sorted(rows, *fields):
-    return sorted(rows, key=lambda r: tuple(getattr(r, f) for f in fields))
-
-
-class JumpAlert(StatefulProcessor):
-    """``|value - last| > threshold``; unset last reads ``initial``.
+class Ordered(StatefulProcessor):
+    """Buffers rows until the watermark passes them.
 
-    ``ordered=True`` buffers a key's rows in list state until the watermark
-    passes them and folds them in ``(ts, seq)`` order (an event-time timer at
-    the oldest buffered row), so the result does not depend on arrival order
-    within the watermark delay; rows above the final watermark stay
-    buffered.
+    Subclasses set ``payload`` (buffer columns beside ``ORDER``), open their
+    state in ``open``, and define ``fold(key, rows)``, a generator over sorted
+    ``(t, src, seq, *payload)`` tuples.  ``settle(key, now)`` handles deadlines
+    up to ``now`` once all earlier rows are folded; ``deadline()`` names the
+    next one.  With ``processing_time`` rows are folded as they arrive, at the
+    wall-clock time of their micro-batch.
     """
 
-    BUFFER = "ts timestamp, seq long, temperature double"
-
-    def __init__(self, threshold: float, initial: float | None = 0.0, ordered: bool = False):
-        self.threshold, self.initial, self.ordered = threshold, initial, ordered
+    payload: tuple[tuple[str, str], ...] = ()
+    processing_time = False
 
     def init(self, handle):
         self.handle = handle
-        self.last = handle.getValueState("last", "v double")
-        if self.ordered:
-            self.buffer = handle.getListState("buffer", self.BUFFER)
-
-    def _fold(self, key, rows):
-        prev = self.last.get()[0] if self.last.exists() else None
-        for r in rows:
-            base = prev if prev is not None else self.initial
-            if base is not None:
-                d = abs(r.temperature - base)
-                if d > self.threshold:
-                    yield Row(id=key[0], ts=r.ts, seq=r.seq, temperature=r.temperature,
-                              temp_diff=d)
-            prev = r.temperature
-        if prev is not None:
-            self.last.update((prev,))
-
-    def _release(self, key, new_rows, wm_ms):
-        held = [Row(ts=_naive(t[0]), seq=t[1], temperature=t[2])
-                for t in (self.buffer.get() if self.buffer.exists() else [])]
-        old_min = min((_us(r.ts) for r in held), default=None)
-        rows = _sorted(held + [Row(ts=_naive(r.ts), seq=r.seq, temperature=r.temperature)
-                               for r in new_rows], "ts", "seq")
-        ready = [r for r in rows if _us(r.ts) <= wm_ms * 1000]
-        keep = [r for r in rows if _us(r.ts) > wm_ms * 1000]
-        yield from self._fold(key, ready)
-        if keep:
-            self.buffer.put([(r.ts, r.seq, r.temperature) for r in keep])
-            new_min = _us(keep[0].ts)
-            if new_min != old_min:
-                if old_min is not None:
-                    self.handle.deleteTimer(_ms_ceil(old_min))
-                self.handle.registerTimer(_ms_ceil(new_min))
+        fields = ["t long", "src int", "seq long", *(f"{n} {t}" for n, t in self.payload)]
+        self.buffer = handle.getListState("buffer", ", ".join(fields))
+        self.due = handle.getValueState("due", "ms long, oldest long")
+        self.open(handle)
+
+    def open(self, handle):
+        pass
+
+    def fold(self, key, rows):
+        raise NotImplementedError
+
+    def settle(self, key, now):
+        return iter(())
+
+    def deadline(self):
+        return None
+
+    def _schedule(self, oldest):
+        """One timer: at the oldest buffered row or the next deadline."""
+        times = [t for t in (oldest, self.deadline()) if t is not None]
+        old = self.due.get()[0] if self.due.exists() else None
+        new = _ms_ceil(min(times)) if times else None
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
+        if new is None:
+            self.due.clear()
         else:
-            self.buffer.clear()
+            self.due.update((new, oldest))
 
     def handleInputRows(self, key, rows, timerValues):
-        if self.ordered:
-            yield from self._release(key, list(rows), timerValues.getCurrentWatermarkInMs())
-        else:
-            yield from self._fold(key, _sorted(rows, "ts", "seq"))
+        names = [n for n, _ in self.payload]
+        new = [(r._t, r._src, r.seq, *(getattr(r, n) for n in names)) for r in rows]
+        if self.processing_time:
+            now = timerValues.getCurrentProcessingTimeInMs() * 1000
+            yield from self.settle(key, now)
+            yield from self.fold(key, [(now, *r[1:]) for r in sorted(new, key=lambda r: r[:3])])
+            self._schedule(None)
+            return
+        self.buffer.appendList(new)
+        oldest = min(r[0] for r in new)
+        held = self.due.get()[1] if self.due.exists() else None
+        self._schedule(oldest if held is None else min(oldest, held))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.ordered:
-            return self._release(key, [], timerValues.getCurrentWatermarkInMs())
-        return iter([])
+        if self.processing_time:
+            now = timerValues.getCurrentProcessingTimeInMs() * 1000
+            self.due.clear()
+            yield from self.settle(key, now)
+            self._schedule(None)
+            return
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        self.due.clear()
+        rows = [tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []
+        ready = sorted((r for r in rows if r[0] <= now), key=lambda r: r[:3])
+        later = [r for r in rows if r[0] > now]
+        if ready:
+            if later:
+                self.buffer.put(later)
+            else:
+                self.buffer.clear()
+            yield from self.fold(key, ready)
+        yield from self.settle(key, now)
+        self._schedule(min((r[0] for r in later), default=None))
 
     def close(self):
         pass
 
 
-class JumpAlertTTL(StatefulProcessor):
+class JumpAlert(Ordered):
+    """``|value - last| > threshold``; unset last reads ``initial``.  A
+    null reading is kept as the last one, with which nothing compares."""
+
+    payload = (("temperature", "double"),)
+
+    def __init__(self, threshold: float, initial: float | None = 0.0):
+        self.threshold, self.initial = threshold, initial
+
+    def open(self, handle):
+        self.last = handle.getValueState("last", "v double")
+
+    def fold(self, key, rows):
+        prev = self.last.get()[0] if self.last.exists() else self.initial
+        for t, _, seq, v in rows:
+            if prev is not None and v is not None and abs(v - prev) > self.threshold:
+                yield Row(id=key[0], t=t, seq=seq, temperature=v, temp_diff=abs(v - prev))
+            prev = v
+        self.last.update((prev,))
+
+
+class JumpAlertTTL(Ordered):
     """X1 whose state is cleared ``ttl`` of event time after the key's
-    last row (an event-time timer; a row whose gap reaches the ttl reads the
-    state as cleared even before the timer fired)."""
+    last row."""
+
+    payload = (("temperature", "double"),)
 
     def __init__(self, threshold: float, ttl_us: int):
         self.threshold, self.ttl = threshold, ttl_us
 
-    def init(self, handle):
-        self.handle = handle
+    def open(self, handle):
         self.state = handle.getValueState("last", "v double, t long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         prev, prev_t = self.state.get() if self.state.exists() else (None, None)
-        old_timer = prev_t + self.ttl if prev_t is not None else None
-        for r in _sorted(rows, "ts", "seq"):
-            t = _us(r.ts)
+        for t, _, seq, v in rows:
             base = 0.0 if prev_t is None or t >= prev_t + self.ttl else prev
-            d = abs(r.temperature - base)
-            if d > self.threshold:
-                yield Row(id=key[0], ts=r.ts, seq=r.seq, temperature=r.temperature, temp_diff=d)
-            prev, prev_t = r.temperature, t
-        if prev_t is not None:
-            if old_timer is not None:
-                self.handle.deleteTimer(_ms_ceil(old_timer))
-            self.handle.registerTimer(_ms_ceil(prev_t + self.ttl))
-            self.state.update((prev, prev_t))
+            if base is not None and v is not None and abs(v - base) > self.threshold:
+                yield Row(id=key[0], t=t, seq=seq, temperature=v, temp_diff=abs(v - base))
+            prev, prev_t = v, t
+        self.state.update((prev, prev_t))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
-        return iter([])
+    def deadline(self):
+        return self.state.get()[1] + self.ttl if self.state.exists() else None
 
-    def close(self):
-        pass
+    def settle(self, key, now):
+        if self.state.exists() and self.deadline() <= now:
+            self.state.clear()
+        return iter(())
 
 
-class RunningCount(StatefulProcessor):
+class RunningCount(Ordered):
     """One output row per (already filtered) input with the key's
     running count."""
 
-    def init(self, handle):
+    def open(self, handle):
         self.count = handle.getValueState("count", "n long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         n = self.count.get()[0] if self.count.exists() else 0
-        for r in _sorted(rows, "ts", "seq"):
+        for t, _, seq in rows:
             n += 1
-            yield Row(id=key[0], ts=r.ts, seq=r.seq, keyed_count=n)
+            yield Row(id=key[0], t=t, seq=seq, keyed_count=n)
         self.count.update((n,))
 
-    def close(self):
-        pass
 
+class Gate(Ordered):
+    """Switches (``_src == 0``) open the key's gate for their duration;
+    readings (``_src == 1``) pass while ``t < open_until``.  The state is
+    cleared at the gate's end.  ``processing_time=True`` opens the gate for
+    wall-clock time from the micro-batch that receives the switch (T6)."""
 
-class Gate(StatefulProcessor):
-    """Switches (``_src == 0``, ``_gate_end``, ``duration_ms``) open the
-    key's gate; readings (``_src == 1``) pass while ``ts < open_until``.  A
-    timer at the gate end clears the state.  ``processing_time=True`` opens
-    the gate for ``duration`` of wall-clock time from the micro-batch that
-    receives the switch, as the reference does (T6)."""
+    payload = (("ts_us", "long"), ("temperature", "double"), ("duration_us", "long"))
 
     def __init__(self, processing_time: bool = False):
         self.processing_time = processing_time
 
-    def init(self, handle):
-        self.handle = handle
+    def open(self, handle):
         self.until = handle.getValueState("open_until", "u long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         until = self.until.get()[0] if self.until.exists() else None
-        before = until
-        now = timerValues.getCurrentProcessingTimeInMs() * 1000 if self.processing_time else None
-        for r in _sorted(rows, "ts", "_src", "seq"):
-            t = now if now is not None else _us(r.ts)
-            if r._src == 0:
-                end = (now + r.duration_ms * 1000) if now is not None else _us(r._gate_end)
-                until = end if until is None else max(until, end)
+        for t, src, seq, ts_us, v, duration in rows:
+            if src == 0:
+                until = t + duration if until is None else max(until, t + duration)
             elif until is not None and t < until:
-                yield Row(id=key[0], ts=r.ts, temperature=r.temperature, seq=r.seq)
-        if until is not None and until != before:
-            if before is not None:
-                self.handle.deleteTimer(_ms_ceil(before))
-            self.handle.registerTimer(_ms_ceil(until))
+                yield Row(id=key[0], t=ts_us, temperature=v, seq=seq)
+        if until is not None:
             self.until.update((until,))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.until.clear()
-        return iter([])
+    def deadline(self):
+        return self.until.get()[0] if self.until.exists() else None
 
-    def close(self):
-        pass
+    def settle(self, key, now):
+        if self.until.exists() and self.until.get()[0] <= now:
+            self.until.clear()
+        return iter(())
 
 
-class ThresholdAlert(StatefulProcessor):
+class ThresholdAlert(Ordered):
     """J3 + X4: control rows (``_src == 0``) set or (0.0) remove the key's
     threshold; readings are checked against it and always move ``last``."""
 
+    payload = (("temperature", "double"), ("threshold", "double"))
+
     def __init__(self, initial: float = 0.0):
         self.initial = initial
 
-    def init(self, handle):
+    def open(self, handle):
         self.thr = handle.getValueState("threshold", "t double")
         self.last = handle.getValueState("last", "v double")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         thr = self.thr.get()[0] if self.thr.exists() else None
-        last = self.last.get()[0] if self.last.exists() else None
-        for r in _sorted(rows, "ts", "_src", "seq"):
-            if r._src == 0:
-                thr = None if r.threshold == 0.0 else r.threshold
+        seen = self.last.exists()
+        last = self.last.get()[0] if seen else self.initial
+        for t, src, seq, v, new in rows:
+            if src == 0:
+                thr = None if new == 0.0 else new
                 continue
-            if thr is not None:
-                d = abs(r.temperature - (last if last is not None else self.initial))
-                if d > thr:
-                    yield Row(id=key[0], ts=r.ts, seq=r.seq, temperature=r.temperature,
-                              temp_diff=d)
-            last = r.temperature
+            if thr is not None and last is not None and v is not None and abs(v - last) > thr:
+                yield Row(id=key[0], t=t, seq=seq, temperature=v, temp_diff=abs(v - last))
+            last, seen = v, True
         if thr is None:
             self.thr.clear()
         else:
             self.thr.update((thr,))
-        if last is not None:
+        if seen:
             self.last.update((last,))
 
-    def close(self):
-        pass
-
 
-class LatestLevel(StatefulProcessor):
+class LatestLevel(Ordered):
     """J2 + X5 per bucket: control rows (``_src == 0``, replicated to every
     bucket) set the level; readings above ``above`` while HIGH alert."""
 
-    def __init__(self, above: float, initial: str = "LOW"):
+    def __init__(self, above: float, key_type: str, initial: str = "LOW"):
         self.above, self.initial = above, initial
+        self.payload = (("id", key_type), ("temperature", "double"), ("level", "string"))
 
-    def init(self, handle):
+    def open(self, handle):
         self.level = handle.getValueState("level", "l string")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         level = self.level.get()[0] if self.level.exists() else self.initial
-        for r in _sorted(rows, "ts", "_src", "seq"):
-            if r._src == 0:
-                level = r.level
-            elif level == "HIGH" and r.temperature > self.above:
-                yield Row(id=r.id, ts=r.ts, message="Risk of fire!")
+        for t, src, _, id, v, new in rows:
+            if src == 0:
+                level = new
+            elif level == "HIGH" and v is not None and v > self.above:
+                yield Row(id=id, t=t, message="Risk of fire!")
         self.level.update((level,))
 
-    def close(self):
-        pass
 
-
-class RiseAlert(StatefulProcessor):
+class RiseAlert(Ordered):
     """A rise arms a timer ``hold`` later, a fall (or a previous value of
     0.0) cancels it, an equal value leaves it; the timer emits the message."""
 
+    payload = (("temperature", "double"),)
+
     def __init__(self, hold_us: int, message: str, processing_time: bool = False):
         self.hold, self.message, self.processing_time = hold_us, message, processing_time
 
-    def init(self, handle):
-        self.handle = handle
+    def open(self, handle):
         self.prev = handle.getValueState("prev", "v double")
         self.timer = handle.getValueState("deadline", "d long")
 
     def _alert(self, key, deadline):
-        return Row(id=key[0], ts=_ts(deadline), message=self.message % key[0])
+        return Row(id=key[0], t=deadline, message=self.message % key[0])
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         prev = self.prev.get()[0] if self.prev.exists() else 0.0
         timer = self.timer.get()[0] if self.timer.exists() else None
-        registered = timer
-        now = timerValues.getCurrentProcessingTimeInMs() * 1000 if self.processing_time else None
-        for r in _sorted(rows, "ts", "seq"):
-            t = now if now is not None else _us(r.ts)
+        for t, _, _, v in rows:
             if timer is not None and timer <= t:
                 yield self._alert(key, timer)
                 timer = None
-            p, prev = prev, r.temperature
-            if p == 0.0 or r.temperature < p:
+            p, prev = prev, v
+            if p == 0.0 or v < p:
                 timer = None
-            elif r.temperature > p and timer is None:
+            elif v > p and timer is None:
                 timer = t + self.hold
-        if registered is not None and registered != timer:
-            self.handle.deleteTimer(_ms_ceil(registered))
-        if timer is not None and timer != registered:
-            self.handle.registerTimer(_ms_ceil(timer))
         self.prev.update((prev,))
         if timer is None:
             self.timer.clear()
         else:
             self.timer.update((timer,))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.timer.exists():
+    def deadline(self):
+        return self.timer.get()[0] if self.timer.exists() else None
+
+    def settle(self, key, now):
+        if self.timer.exists() and self.timer.get()[0] <= now:
             deadline = self.timer.get()[0]
             self.timer.clear()
-            return iter([self._alert(key, deadline)])
-        return iter([])
-
-    def close(self):
-        pass
+            yield self._alert(key, deadline)
 
 
 class LateDetector(StatefulProcessor):
     """L2 + L4 stream.  Data rows (``_tick`` false) carry a null watermark
     column, so Spark never drops them; tick rows carry the event time and
     move the watermark.  A data row is late when its event time is below the
-    watermark of its micro-batch.  Output: every data row with its ``late``
-    flag and the key's running late count."""
+    watermark of its micro-batch, which knows the rows of earlier micro-batches
+    only.  Output: every data row with its ``late`` flag and the key's running
+    late count."""
 
     def init(self, handle):
         self.count = handle.getValueState("late_count", "n long")
@@ -327,10 +321,10 @@ class LateDetector(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         n = self.count.get()[0] if self.count.exists() else 0
-        for r in _sorted([r for r in rows if not r._tick], "seq"):
-            late = wm_us > 0 and _us(r.et) < wm_us
+        for r in sorted((r for r in rows if not r._tick), key=lambda r: r.seq):
+            late = wm_us > 0 and r._t < wm_us
             n += int(late)
-            yield Row(id=key[0], et=r.et, seq=r.seq, late=late, late_count=n)
+            yield Row(id=key[0], t=r._t, seq=r.seq, late=late, late_count=n)
         self.count.update((n,))
 
     def close(self):

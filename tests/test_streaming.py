@@ -24,13 +24,26 @@ def events(spark):
     return ev
 
 
-@pytest.fixture(scope="module")
-def replay_dir(spark, events):
+@pytest.fixture(scope="module", params=["in order", "interleaved"])
+def replay_dir(spark, events, request):
+    """Four arrival slices, in event-time order or dealt by a hash, and then
+    rows of another key far in the future, whose watermark closes the stream."""
     path = tempfile.mkdtemp(prefix="kairo-replay-") + "/events"
-    split_for_replay(events, path, SLICES, order="event_id")
+    arrival = F.col("event_id") if request.param == "in order" else F.xxhash64("event_id")
+    split_for_replay(events.withColumn("_arr", arrival), path, SLICES, order="_arr")
+    split_for_replay(closing(spark), path, 2, order="_arr")
     return path
 
 
+def closing(spark):
+    close = spark.createDataFrame([(10 ** 9 + i, -1, "view", 500.0, f"{2030 + i}-01-01") for i in range(2)],
+                                  "event_id long, user_id long, event_type string, value double, t string")
+    return close.withColumn("ts", F.col("t").cast("timestamp")).withColumn("_arr", F.col("event_id"))
+
+
+DELAY = "400 days"
+
+
 def run(df, mode="append"):
     name = "q" + tempfile.mktemp(prefix="", dir="").replace("-", "_")[-10:]
     ck = tempfile.mkdtemp(prefix="kairo-ck-")
@@ -50,6 +63,7 @@ def readings_of(ev):
 
 
 def same(a, b, cols):
+    a, b = (d.filter("id >= 0") for d in (a, b))
     ra = sorted(tuple(r) for r in a.select(*cols).collect())
     rb = sorted(tuple(r) for r in b.select(*cols).collect())
     assert ra == rb
@@ -58,7 +72,7 @@ def same(a, b, cols):
 
 def test_jump_alert_parity_and_state_reader(spark, events, replay_dir):
     s = readings_of(stream_events(spark, replay_dir, events))
-    out, q, ck = run(st.jump_alert_stream(s, 1.7))
+    out, q, ck = run(st.jump_alert_stream(s, 1.7, delay=DELAY))
     assert q.lastProgress is not None
     n = same(out, op.jump_alert(readings_of(events), threshold=1.7),
              ["id", "ts", "seq", "temperature", "temp_diff"])
@@ -67,19 +81,19 @@ def test_jump_alert_parity_and_state_reader(spark, events, replay_dir):
     got = {r["key"][0]: r["value"][0] for r in state.collect()}
     last = (readings_of(events).groupBy("id")
             .agg(F.max_by("temperature", F.struct("ts", "seq")).alias("v")).collect())
-    assert got == {r["id"]: r["v"] for r in last}
+    assert {k: v for k, v in got.items() if k >= 0} == {r["id"]: r["v"] for r in last}
 
 
 def test_jump_alert_ttl_parity(spark, events, replay_dir):
     s = readings_of(stream_events(spark, replay_dir, events))
-    out, _, _ = run(st.jump_alert_ttl_stream(s, 1.5, "1 day"))
+    out, _, _ = run(st.jump_alert_ttl_stream(s, 1.5, "1 day", delay=DELAY))
     same(out, op.jump_alert_ttl(readings_of(events), threshold=1.5, ttl_seconds=86400),
          ["id", "ts", "seq", "temperature", "temp_diff"])
 
 
 def test_running_count_parity(spark, events, replay_dir):
     s = readings_of(stream_events(spark, replay_dir, events))
-    out, _, _ = run(st.running_count_stream(s, F.col("temperature") > 120))
+    out, _, _ = run(st.running_count_stream(s, F.col("temperature") > 120, delay=DELAY))
     same(out, op.running_count(readings_of(events), "id", ["ts", "seq"],
                                F.col("temperature") > 120), ["id", "ts", "seq", "keyed_count"])
 
@@ -87,7 +101,8 @@ def test_running_count_parity(spark, events, replay_dir):
 def test_gate_parity(spark, events, replay_dir):
     s = stream_events(spark, replay_dir, events)
     r_s = readings_of(s.filter("event_type <> 'signup'"))
-    out, _, _ = run(st.gate_stream(r_s, switches_from_events(s, "signup", 2 * 86_400_000)))
+    out, _, _ = run(st.gate_stream(r_s, switches_from_events(s, "signup", 2 * 86_400_000),
+                                   delay=DELAY))
     batch = op.gate(readings_of(events.filter("event_type <> 'signup'")),
                     switches_from_events(events, "signup", 2 * 86_400_000))
     assert same(out, batch, ["id", "ts", "seq", "temperature"]) > 0
@@ -96,7 +111,7 @@ def test_gate_parity(spark, events, replay_dir):
 def test_threshold_alert_parity(spark, events, replay_dir):
     s = stream_events(spark, replay_dir, events)
     out, _, _ = run(st.threshold_alert_stream(readings_of(s.filter("event_type <> 'purchase'")),
-                                              thresholds_from_events(s, "purchase", 5)))
+                                              thresholds_from_events(s, "purchase", 5), delay=DELAY))
     batch = op.threshold_alert(readings_of(events.filter("event_type <> 'purchase'")),
                                thresholds_from_events(events, "purchase", 5))
     assert same(out, batch, ["id", "ts", "seq", "temperature", "temp_diff"]) > 0
@@ -105,7 +120,7 @@ def test_threshold_alert_parity(spark, events, replay_dir):
 def test_fire_risk_parity(spark, events, replay_dir):
     s = stream_events(spark, replay_dir, events)
     out, _, _ = run(st.fire_risk_stream(readings_of(s.filter("event_type <> 'error'")),
-                                        levels_from_events(s, "error", 80.0)))
+                                        levels_from_events(s, "error", 80.0), delay=DELAY))
     batch = op.fire_risk(readings_of(events.filter("event_type <> 'error'")),
                          levels_from_events(events, "error", 80.0))
     assert same(out, batch, ["id", "ts", "message"]) > 0
@@ -113,13 +128,11 @@ def test_fire_risk_parity(spark, events, replay_dir):
 
 def test_rise_alert_parity(spark, events, replay_dir):
     s = readings_of(stream_events(spark, replay_dir, events))
-    out, q, _ = run(st.rise_alert_stream(s, "2 hours", delay="0 seconds"))
-    batch = op.rise_alert(readings_of(events), hold="2 hours")
-    got = sorted(tuple(r) for r in out.select("id", "ts", "message").collect())
-    want = sorted(tuple(r) for r in batch.select("id", "ts", "message").collect())
-    # timers fire once the watermark passes them; the batch form also fires
-    # those due by the end of input, which a stream may still hold
-    assert set(got) <= set(want) and len(got) >= len(want) - 30 and got
+    out, q, _ = run(st.rise_alert_stream(s, "2 hours", delay=DELAY))
+    # the batch form fires deadlines up to its last event time; here the
+    # closing rows are part of its input too
+    ev = readings_of(spark.read.schema(events.schema).parquet(replay_dir))
+    assert same(out, op.rise_alert(ev, hold="2 hours"), ["id", "ts", "message"]) > 0
 
 
 def test_window_agg_update_parity(spark, events, replay_dir):
@@ -140,36 +153,20 @@ def test_restart_from_checkpoint(spark, events):
 
     def once():
         s = readings_of(replay_stream(spark, path, events.schema))
-        q = (st.jump_alert_stream(s, 1.7).writeStream.format("parquet")
+        q = (st.jump_alert_stream(s, 1.7, delay=DELAY).writeStream.format("parquet")
              .option("path", path + "-out").option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()
 
     once()
     split_for_replay(events.filter("event_id >= 500"), path, 2, order="event_id")
+    split_for_replay(closing(spark), path, 2, order="event_id")
     once()
     out = spark.read.parquet(path + "-out")
     same(out, op.jump_alert(readings_of(events), threshold=1.7),
          ["id", "ts", "seq", "temperature", "temp_diff"])
 
 
-def test_ordered_jump_alert_ignores_arrival_order(spark, events):
-    """Rows arrive shuffled; buffered folding in event-time order still
-    equals the batch form.  Two far-future rows of another key close the
-    stream (the watermark passes every real row)."""
-    path = tempfile.mkdtemp(prefix="kairo-replay-") + "/events"
-    shuffled = events.withColumn("_arr", F.xxhash64("event_id"))
-    close = (events.limit(2).withColumn("user_id", F.lit(-1).cast("long"))
-             .withColumn("ts", F.expr("TIMESTAMP'2030-01-01 00:00:00' + make_dt_interval(0, 0, 0, event_id)")))
-    split_for_replay(shuffled.drop("_arr").withColumn("_arr", F.xxhash64("event_id")), path, 4,
-                     order="_arr")
-    split_for_replay(close.withColumn("_arr", F.col("event_id")), path, 2, order="_arr")
-    s = readings_of(replay_stream(spark, path, shuffled.schema))
-    out, _, _ = run(st.jump_alert_stream(s, 1.7, delay="40 days", ordered=True))
-    same(out.filter("id >= 0"), op.jump_alert(readings_of(events), threshold=1.7),
-         ["id", "ts", "seq", "temperature", "temp_diff"])
-
-
 def test_late_rows_stream_subset_of_batch(spark):
     from conftest import SF001
     from kairo.plans.catalog import with_disorder
@@ -181,8 +178,18 @@ def test_late_rows_stream_subset_of_batch(spark):
     out, _, _ = run(st.late_rows_stream(replay_stream(spark, path, r.schema), bound="5 hours"))
     late_stream = {row["seq"] for row in out.filter("late").collect()}
     late_batch = {row["seq"] for row in op.late_rows(r, bound_s=5 * 3600).collect()}
+    # the same rule at the same cadence: the watermark of all earlier slices
+    slices = [x for x in sorted((f, spark.read.parquet(f)) for f in
+                                spark.read.parquet(path).inputFiles())]
+    want, top = set(), None
+    for _, part in slices:
+        rows = part.select("seq", F.unix_micros("et").alias("t")).collect()
+        if top is not None:
+            wm = (top - 5 * 3600 * 10 ** 6) // 1000 * 1000
+            want |= {x.seq for x in rows if x.t < wm}
+        top = max([x.t for x in rows] + ([top] if top is not None else []))
     assert out.count() == r.count()
-    assert late_stream and late_stream <= late_batch
+    assert late_stream == want and late_stream <= late_batch and want
     counts = {row["id"]: row["n"] for row in
               out.groupBy("id").agg(F.max("late_count").alias("n")).collect()}
     assert sum(counts.values()) == len(late_stream)
@@ -206,7 +213,7 @@ def test_punctuated_watermark_router_and_counter(spark, events, replay_dir):
          .option("checkpointLocation", tempfile.mkdtemp(prefix="kairo-ck-"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    n = events.count()
+    n = events.count() + 2                      # with the closing rows
     assert seen["main"] == n
     assert seen["side"] == events.filter("value < 32").count()
     observed = [pr["observedMetrics"]["rows"]["rows"] for pr in q.recentProgress
