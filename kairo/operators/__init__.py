@@ -6,7 +6,7 @@ from kairo.operators.windows import (
 )
 from kairo.operators.rolling import (
     rolling_sum, rolling_argmax, running_count, keyed_and_bucket_counts,
-    bucket_counts, bucket_of,
+    bucket_counts,
 )
 from kairo.operators.alerts import jump_alert, jump_alert_ttl
 from kairo.operators.rise import rise_alert

@@ -64,18 +64,11 @@ def running_count(df: DataFrame, key: str, order: Sequence[str], predicate: Colu
     return prefix_scan(df.filter(predicate), [key], order, [Agg(out, "count", F.lit(1))])
 
 
-def bucket_of(key: Column | str, buckets: int) -> Column:
-    """Stable bucket of a key: ``pmod(xxhash64(key), buckets)``.  The
-    reference counts per parallel task; a task index is not stable across
-    restarts or rescaling, a hash bucket is."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k), F.lit(buckets)).cast("int")
-
-
 def keyed_and_bucket_counts(df: DataFrame, key: str, order: Sequence[str],
                             predicate: Column, bucket: Column) -> DataFrame:
     """A10: each matching row with the key's running count and the running
-    count of its bucket (bucket = group of keys), both along ``order``.
+    count of its bucket (bucket = group of keys, e.g. a hash of the key, which
+    unlike a task index is stable across restarts), both along ``order``.
 
     Output ``(key, order..., bucket, keyed_count, bucket_count)``.
     """

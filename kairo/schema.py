@@ -1,49 +1,7 @@
-"""Record schemas (Spark) and the mapping of the driver tables onto them."""
+"""Fixed values of the record vocabulary."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-# Reading of one sensor (key, event time, measured value, arrival order).
-READING = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("temperature", T.DoubleType()),
-    T.StructField("seq", T.LongType()),
-])
-
-LEVEL = T.StructType([
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("level", T.StringType()),
-    T.StructField("seq", T.LongType()),
-])
-
-THRESHOLD = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("threshold", T.DoubleType()),
-    T.StructField("seq", T.LongType()),
-])
-
-SWITCH = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("duration_ms", T.LongType()),
-])
-
-JUMP_ALERT = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("temperature", T.DoubleType()),
-    T.StructField("temp_diff", T.DoubleType()),
-])
-
-MESSAGE_ALERT = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("message", T.StringType()),
-])
-
 # Fixed values that define the reference's record vocabulary.
 LEVEL_HIGH = "HIGH"
 LEVEL_LOW = "LOW"

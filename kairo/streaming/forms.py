@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kairo.operators.rise import MESSAGE
 from kairo.operators.windows import window_agg
 from kairo.streaming import processors as P
-from kairo.streaming.time import as_event_time
+from kairo.streaming.time import as_event_time, bounded_out_of_order
 
 ALERT = "t long, seq long, temperature double, temp_diff double"
 
@@ -32,7 +32,7 @@ def _key_type(df: DataFrame, key: str) -> str:
 def _ordered(df: DataFrame, delay: str) -> DataFrame:
     """Watermark, and the columns that ordered processors read: the event
     time as LONG microseconds and the source (1 for readings)."""
-    df = as_event_time(df).withWatermark("ts", delay)
+    df = bounded_out_of_order(df, "ts", delay)
     df = df.withColumn("_t", F.unix_micros("ts"))
     return df if "_src" in df.columns else df.withColumn("_src", F.lit(1))
 
@@ -152,7 +152,7 @@ def window_agg_stream(df: DataFrame, key: str, size: str, aggs: dict[str, Column
     a window is written once, when the watermark passes its end (W5); in
     Update mode each trigger writes the windows that changed (early firing,
     W3 with ``trigger(processingTime=...)``)."""
-    return window_agg(as_event_time(df).withWatermark("ts", delay), key, "ts", size, aggs)
+    return window_agg(bounded_out_of_order(df, "ts", delay), key, "ts", size, aggs)
 
 
 def observe_stream(df: DataFrame, name: str = "alerts") -> DataFrame:
