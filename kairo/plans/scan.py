@@ -32,6 +32,7 @@ depend on the cut at all.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -169,6 +170,20 @@ def _quantiles(position: Column, slices: int) -> Column:
     return F.percentile_approx(position, steps, max(10_000, 20 * slices))
 
 
+def _repeated(q: str) -> Column:
+    """Distinct values that stand more than once in a sorted array."""
+    pairs = F.arrays_zip(F.expr(f"slice({q}, 1, size({q}) - 1)").alias("a"),
+                         F.expr(f"slice({q}, 2, size({q}) - 1)").alias("b"))
+    return F.array_distinct(F.transform(F.filter(pairs, lambda p: p["a"] == p["b"]),
+                                        lambda p: p["a"]))
+
+
+def _grouped(values: str, step: int) -> Column:
+    """The array cut into arrays of ``step``."""
+    return F.expr(f"transform(sequence(0, (size({values}) - 1) div {step}), "
+                  f"k -> slice({values}, cast(k * {step} + 1 as int), {step}))")
+
+
 @dataclass(frozen=True)
 class Chunks:
     """The cut of a frame: ``rows`` with ``_chunk`` and ``_hot``; ``slices``
@@ -197,19 +212,24 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     slices = max(2, min(MAX_SLICES, -(-most // chunk_rows)))
     if not keys:
         slices = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    step = max(1, math.isqrt(slices))
     small = _maybe_broadcast(hot.select("_hk"), n_hot, 128)
     first = df.withColumns({"_ck": _key(keys), "_pos": order_number(df, order[0])})
     bounds, _ = materialize(
         first.select("_ck", "_pos", *order[1:2]).join(small, F.col("_ck") == F.col("_hk"))
         .groupBy("_hk").agg(_quantiles(F.col("_pos"), slices).alias("_q"))
-        .select("_hk", F.array_distinct("_q").alias("_bounds"),
-                F.filter(F.array_distinct("_q"), lambda v: F.size(
-                    F.filter(F.col("_q"), lambda w: w == v)) > 1).alias("_bursts")), "scan-bounds")
+        .select("_hk", F.array_distinct("_q").alias("_b"), _repeated("_q").alias("_bursts"))
+        .select("_hk", "_bursts", _grouped("_b", step).alias("_groups"))
+        .withColumn("_tops", F.transform(F.expr("slice(_groups, 1, size(_groups) - 1)"),
+                                         lambda g: F.element_at(g, -1))), "scan-bounds")
     cut = _maybe_broadcast(bounds, n_hot, 128 + 16 * slices)
     placed = first.join(cut, F.col("_ck") == F.col("_hk"), "left")
-    below = F.size(F.filter("_bounds", lambda v: v < F.col("_pos")))
-    slot = F.when(F.col("_hk").isNull(), F.lit(0)).otherwise(F.coalesce(
-        2 * below + F.array_contains("_bounds", F.col("_pos")).cast("int"), F.lit(0))).cast("long")
+    # two-level lookup: the group of bounds, then the place in it
+    group = F.size(F.filter("_tops", lambda v: v < F.col("_pos")))
+    inner = F.element_at("_groups", group + 1)
+    below = group * step + F.size(F.filter(inner, lambda v: v < F.col("_pos")))
+    slot = F.when(F.col("_hk").isNull() | F.col("_pos").isNull(), F.lit(0)).otherwise(F.coalesce(
+        2 * below + F.array_contains(inner, F.col("_pos")).cast("int"), F.lit(0))).cast("long")
     part, total = F.lit(0), 2 * slices * n_hot
     if len(order) > 1 and not bounds.filter("size(_bursts) > 0").isEmpty():
         second = order_number(df, order[1])
