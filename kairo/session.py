@@ -80,13 +80,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, *, compressed: bool = True) -> tuple[DataFrame, int]:
+#: Rows of narrow tables that one scratch file holds.
+ROWS_PER_FILE = 250_000
+
+
+def materialize(df: DataFrame, name: str, *, compressed: bool = True,
+                rows: int | None = None) -> tuple[DataFrame, int]:
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
     (one job; the row count comes from an observation on that job) and read
     it back.  The files survive executor loss; ``release`` deletes them.
     ``compressed=False`` suits hashes and ids, which do not compress, and
-    spares the executors the codecs' direct buffers."""
+    spares the executors the codecs' direct buffers.  ``rows``, a known bound
+    on the rows of a narrow table, keeps a small table from being written in
+    many files."""
     spark = df.sparkSession
+    if rows is not None:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.coalesce(max(1, min(parts, -(-rows // ROWS_PER_FILE))))
     path = scratch_path(spark, name)
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(
