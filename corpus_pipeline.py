@@ -17,15 +17,15 @@ from kairo.llm.lines import remove_repeated_lines
 from kairo.llm.near import near_components
 from kairo.llm.pieces import round_trip
 from kairo.llm.quality import select_documents
-from kairo.llm.queries import tokenizer_file
-from kairo.session import materialize, release, ship_package
+from kairo.llm.queries import prepare, tokenizer_file
+from kairo.session import materialize, release
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling rejects go."""
-    ship_package(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     kept = (select_documents(docs, labels).filter("selected")
             .select(F.col("doc_id").alias("id"), "text_crc32").distinct())
@@ -37,7 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Multi-line chunks that occur earlier go, and with them documents of
     which nothing is left."""
-    ship_package(spark)
+    prepare(spark)
     changed = (remove_repeated_lines(docs).filter("n_removed > 0")
                .select("doc_id", "kept").dropDuplicates(["doc_id"]))
     text = F.coalesce("kept", "text")
@@ -51,7 +51,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles,
     similarity 0.8 or more; the smallest id)."""
-    ship_package(spark)
+    prepare(spark)
     kept = near_components(docs).filter("kept").select("doc_id")
     known = docs.join(kept, "doc_id", "left_semi")
     return known.unionByName(docs.filter("doc_id IS NULL")).select(*COLUMNS)
@@ -59,7 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    ship_package(spark)
+    prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = find_contamination(docs, benchmark).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
@@ -67,7 +67,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the remaining texts' ids and of their decoding."""
-    ship_package(spark)
+    prepare(spark)
     return round_trip(docs, tokenizer_file("piece_bpe_32k.model"))
 
 

@@ -68,7 +68,8 @@ def call_levels(calls: DataFrame) -> DataFrame:
         after, _ = materialize(
             state.join(up, "next", "left")
             .select("call_id", F.col("next2").alias("next"),
-                    (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "chat-levels")
+                    (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "chat-levels",
+            rows=n)
         release(state)
         state = after
     return state.select("call_id", F.when(F.col("next").isNull(), F.col("level")).alias("level"))

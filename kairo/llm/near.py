@@ -25,6 +25,7 @@ pairs.  Every link is confirmed on the full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,12 @@ from pyspark.sql import functions as F
 
 from kairo.llm import arrays as A
 from kairo.llm.graph import connected_components
-from kairo.session import materialize, release
+from kairo.session import materialize as _materialize
+from kairo.session import release
+
+# ids and hashes do not compress
+materialize = partial(_materialize, compressed=False)
+
 
 
 #: Leaders that a member is compared with in a round; what they leave apart is

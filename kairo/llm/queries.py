@@ -17,8 +17,22 @@ from kairo.llm.token_counts import count_tokens, sample_edits
 from kairo.session import ship_package
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Bounds of an Arrow batch between the JVM and Python: texts may be long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+         "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m")}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package and, where the session has Spark's defaults, bound the
+    batches of map functions."""
     ship_package(spark)
+    for key, (default, ours) in BATCH.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, ours)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
