@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairo.llm import arrays as A
@@ -108,7 +109,7 @@ def near_fingerprints(queries: DataFrame, against: DataFrame, radius: int, *,
                 .withColumn("bits", bits[0])
                 .select(F.col(column).alias(name), F.explode(keys).alias("key")))
 
-    def word(c: str, i: int) -> F.Column:
+    def word(c: str, i: int) -> Column:
         return F.conv(F.substring(c, 8 * i + 1, 8), 16, 10).cast("long")
 
     distance = sum((F.bit_count(word("query", i).bitwiseXOR(word("fingerprint", i)))
@@ -134,13 +135,20 @@ def _ranges(src: DataFrame) -> tuple[list, list]:
     return bounds, [least.get(r) for r in range(len(bounds) + 1)]
 
 
-def _range_of(bounds: list) -> F.Column:
-    """Number of bounds below the id; null ids are in range 0."""
+def _range_of(bounds: list) -> Column:
+    """Number of bounds below the id, looked up in two levels of about the
+    square root of their number; null ids are in range 0."""
     if not bounds:
         return F.lit(0)
-    array = F.lit([int(b) for b in bounds])
-    return F.coalesce(F.aggregate(array, F.lit(0), lambda n, b: n + (b < F.col("doc_id")).cast("int")),
-                      F.lit(0))
+    size = max(1, math.isqrt(len(bounds)))
+    groups = [[int(b) for b in bounds[k:k + size]] for k in range(0, len(bounds), size)]
+
+    def below(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0), lambda n, b: n + (b < F.col("doc_id")).cast("int"))
+
+    group = below(F.lit([g[-1] for g in groups[:-1]])) if len(groups) > 1 else F.lit(0)
+    inner = F.element_at(F.array(*[F.lit(g) for g in groups]), group + 1)
+    return F.coalesce(group * size + below(inner), F.lit(0))
 
 
 def _edited(text: str, other: str) -> str:
