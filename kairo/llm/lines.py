@@ -5,13 +5,16 @@ over ``window`` line hashes gives each line a role: lines of the *start* role
 open a chunk (judged with the lines after them), lines of the *end* role close
 one (judged with the lines before them).  A role depends on the passage's own
 lines, so insertions elsewhere do not shift it, and a passage is cut alike
-wherever it stands.  ``chunkings`` independent role assignments are used, so
-that a passage of a few lines is a chunk in one of them.
+wherever it stands.  ``chunkings`` independent role assignments are used.
+Roles alone miss passages whose ends are cut nowhere alike (and runs of equal
+lines, which share a role), so every two neighbouring lines are a chunk too:
+whatever repeats in two or more lines is covered by pairs that repeat.
 
 Chunks of two or more lines that occur more than once, by the hash of their
 lines, are fetched from the texts and compared with the first occurrence
-(smallest id, then place) byte by byte; all equal later ones are removed.  Of
-a document's overlapping candidates only a cover is compared.
+(smallest id, then place) byte by byte; all equal later ones that do not
+overlap the first are removed.  Of a document's overlapping candidates only a
+cover is compared.
 
 Counting is pre-aggregated, a frequent chunk's owner is one row (so the join is
 split by rows, not by chunk), and texts travel compressed.
@@ -48,7 +51,7 @@ def line_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def chunks(h: np.ndarray, first: np.ndarray, window: int, chunkings: int):
     """Distinct multi-line chunks ``(document, first line, lines, key)`` of all
-    chunkings; ``h`` holds line hashes."""
+    chunkings and all pairs of neighbouring lines; ``h`` holds line hashes."""
     n = len(h)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     ahead, back = h.copy(), h.copy()
@@ -58,7 +61,8 @@ def chunks(h: np.ndarray, first: np.ndarray, window: int, chunkings: int):
         back[k:] += np.where(near, h[:-k], U64(0)) * A.seeds(k + 1, 21)[k]
     edge = np.zeros(n + 1, bool)
     edge[first] = True
-    begins, sizes = [], []
+    pairs = np.flatnonzero(doc[1:] == doc[:-1])
+    begins, sizes = [pairs], [np.full(len(pairs), 2)]
     for salt in A.seeds(chunkings, 22):
         opens = (A.mix(ahead ^ salt) & U64(0xFFFF)) < U64(ROLE)
         closes = (A.mix(back ^ salt) & U64(0xFFFF)) >= U64((1 << 16) - ROLE)
@@ -185,9 +189,12 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
-                          window: int = 1, chunkings: int = 32) -> DataFrame:
+                          window: int = 2, chunkings: int = 32) -> DataFrame:
     """One row per document: ``(doc_id, n_lines, n_removed, kept_sha256, kept)``.
 
+    A line goes if it stands in two neighbouring lines that occur earlier
+    (smaller id, or same document and earlier place) and do not overlap their
+    first occurrence: of a run of equal lines, the first two or three stay.
     Lines end at line feeds.  Null text reads as empty, which is one empty
     line.  Rows that repeat an id with the same text count as one document and
     give equal rows; rows without an id are kept whole and matched with
@@ -199,8 +206,10 @@ def remove_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text
     owners = (rows.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"),
                                       F.count("*").alias("c"))
               .filter("c > 1").select("key", "first"))
+    overlaps = ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("line") > F.col("first.line"))
+                & (F.col("line") < F.col("first.line") + F.col("n")))
     hits, _ = materialize(
-        rows.join(owners, "key")
+        rows.join(owners, "key").filter(~overlaps)
         .select("doc_id", F.struct("key", "line", "n",
                                    (F.struct("doc_id", "line") == F.col("first")).alias("owned"))
                 .alias("hit")), "lines-hits")

@@ -173,6 +173,33 @@ def test_line_dedup(docs, odd, empty):
     assert lines.remove_repeated_lines(empty).collect() == []
 
 
+def brute_lines(docs: dict) -> dict:
+    first, out = {}, {}
+    for d in sorted(docs):
+        body = docs[d].split("\n")
+        gone = set()
+        for p, pair in enumerate(zip(body, body[1:])):
+            if first.setdefault(pair, (d, p)) not in ((d, p), (d, p - 1)):
+                gone |= {p, p + 1}
+        out[d] = len(body), len(gone), "\n".join(x for i, x in enumerate(body) if i not in gone)
+    return out
+
+
+def test_line_dedup_runs_of_equal_lines(spark, docs):
+    """Runs of equal lines, and passages whose ends differ, against brute force."""
+    rnd = random.Random(2)
+    rows = {1: "\n".join(["top", *["same"] * 6, "end"]), 2: "\n".join(["same"] * 4),
+            3: "\n".join(["other", *["same"] * 9, "more"]), 4: "same", 5: "same\nsame",
+            6: "\n".join(["b"] * 3), 7: "x\ny\nx\ny\nx"}
+    rows |= {d: "\n".join(f"line {rnd.randrange(12)}" for _ in range(rnd.randint(1, 14)))
+             for d in range(10, 60)}
+    for some in (rows, texts(docs)):
+        table = spark.createDataFrame(list(some.items()), "doc_id long, text string")
+        got = {r.doc_id: (r.n_lines, r.n_removed, r.kept)
+               for r in lines.remove_repeated_lines(table).collect()}
+        assert got == brute_lines(some)
+
+
 # --- 3
 
 def test_token_counts_fuzz():
