@@ -112,10 +112,14 @@ def _anchors(length: int, gram: int):
                 if not len(g):
                     continue
                 who = ids[i:j][doc]
-                # a context met before in this slice needs no bucket; it gets a key of its own
+                # a context met before at another place of this slice needs no bucket; it gets a
+                # key of its own (a repeated row has the same places, which match nothing)
                 order = np.lexsort((lo, who, c, g))
+                gs, cs, ws, ls = (x[order] for x in (g, c, who, lo))
+                new = np.concatenate([[True], (gs[1:] != gs[:-1]) | (cs[1:] != cs[:-1])])
+                head = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
                 same = np.zeros(len(g), np.int64)
-                same[order[1:]] = (g[order[1:]] == g[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
+                same[order] = (ws != ws[head]) | (ls != ls[head])
                 own = A.mix(who.astype(U64) * U64(0x9E3779B97F4A7C15) + lo.astype(U64))
                 g = np.where(same == 1, own, g)
                 yield pa.RecordBatch.from_arrays([

@@ -504,6 +504,19 @@ def test_suffix_odd_rows(odd, empty):
     assert suffix.remove_repeats(empty).collect() == []
 
 
+def test_suffix_repeated_rows(spark, docs):
+    """Repeated rows in one slice keep their text, whatever the batches."""
+    rnd = random.Random(6)
+    t = {d: "".join(rnd.choice("abcdefgh ") for _ in range(400)) for d in (3, 5, 8)}
+    t |= {4: t[3], 9: t[8][:250] + t[5][:150]}
+    rows = [(d, t[d]) for d in (3, 3, 3, 5, 4, 4, 8, 9, 9, 5)]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = suffix.remove_repeats(df).collect()
+        assert len(got) == len(rows)
+        assert {(r.doc_id, *tuple(r)[1:5]) for r in got} == {(d, *x) for d, x in brute_repeats(t).items()}
+
+
 # --- registered queries
 
 def test_pipeline(spark, odd):
