@@ -2,10 +2,12 @@
 
 Benchmark items and document windows of an item's length in words are
 fingerprinted from their five-word shingles (128 bits).  A window is compared
-with an item if their fingerprints differ in at most ``radius`` bits.  Those
-pairs are found by multi-index blocks: of eight 16-bit blocks, one must differ
+with an item if their fingerprints differ in at most ``radius`` bits, or if it
+holds as many of the item's shingles as ``similarity`` needs, so that no bits
+can lose a window.  Near fingerprints are found by multi-index blocks: of eight 16-bit blocks, one must differ
 in at most ``radius // 8`` bits, so each item is listed under every block value
-that near, and a window looks up its eight values.  Candidates are verified by
+that near, and a window looks up its eight values.  An item of fewer than five words
+is sought as it is, in windows of its own word count.  Candidates are verified by
 the exact weighted similarity of their shingles (sum of the smaller counts over
 sum of the larger), at least ``similarity``.
 
@@ -58,14 +60,20 @@ class Matcher:
         buf = A.lower(data[off[0]:off[-1]])
         start, end, first = A.words(buf, off - off[0])
         self.length = np.diff(first)
-        h, sf = A.shingles(A.word_hashes(buf, start, end), first, words)
+        w = A.word_hashes(buf, start, end)
+        h, sf = A.shingles(w, first, words)
+        # an item shorter than a shingle: word count -> hash of its words -> items
+        self.short = defaultdict(lambda: defaultdict(list))
+        for k in np.flatnonzero((self.length > 0) & (self.length < words)).tolist():
+            self.short[int(self.length[k])][int(h[sf[k]])].append(k)
         self.prints = fingerprints(h, sf)
         self.terms = [Counter(h[a:b].tolist()) for a, b in zip(sf[:-1], sf[1:])]
-        self.all_terms = np.unique(h)
         self.items_of = defaultdict(set)
         for k, terms in enumerate(self.terms):
-            for t in terms:
-                self.items_of[t].add(k)
+            if self.length[k] >= words:
+                for t in terms:
+                    self.items_of[t].add(k)
+        self.all_terms = np.array(sorted(self.items_of), U64)
         masks = _near_values(radius // BLOCKS)
         values = _blocks(self.prints)
         self.table = []
@@ -87,11 +95,13 @@ class Matcher:
         ``(item, first word, words, similarity)``."""
         seeds = self.seeds(h)
         starts = defaultdict(set)                     # window length in shingles -> first shingles
+        hits = defaultdict(list)                      # item -> places of its shingles
         for s in seeds.tolist():
             for k in self.items_of[int(h[s])]:
                 m = max(1, int(self.length[k]) - self.words + 1)
                 m = min(m, len(h))
                 starts[m].update(range(max(0, s - m + 1), min(s, len(h) - m) + 1))
+                hits[m, k].append(s)
         best: dict[int, tuple[float, int, int]] = {}
         for m, places in starts.items():
             place = np.array(sorted(places))
@@ -99,7 +109,12 @@ class Matcher:
                 p = place[i:i + 4096]
                 rows = h[p[:, None] + np.arange(m)]
                 f = fingerprints(rows.ravel(), np.arange(len(p) + 1) * m)
-                for w, k in self._candidates(f):
+                pairs = set(self._candidates(f))
+                for (_, k), at in ((x, y) for x, y in hits.items() if x[0] == m):
+                    n = np.searchsorted(at, p + m) - np.searchsorted(at, p)
+                    least = self.similarity / (1 + self.similarity) * (m + self.terms[k].total())
+                    pairs.update((w, k) for w in np.flatnonzero(n >= least - 1e-6).tolist())
+                for w, k in sorted(pairs):
                     if max(1, int(self.length[k]) - self.words + 1) != m and m != len(h):
                         continue
                     s = self._similarity(rows[w], k)
@@ -107,6 +122,25 @@ class Matcher:
                         best[k] = s, int(p[w]), m
         return [(k, p, min(n_words, m + self.words - 1), s) for k, (s, p, m) in sorted(best.items())]
 
+    def short_items(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """First place of every short item in every document, given the word
+        hashes: ``(document, item, first word, words)``."""
+        for n, items in self.short.items():
+            long = np.diff(first) >= n
+            g, gf = A.shingles(h, first, n)
+            known = np.array(sorted(items), U64)
+            at = np.flatnonzero(np.isin(g, known))
+            doc = np.searchsorted(gf, at, "right") - 1
+            at, doc = at[long[doc]], doc[long[doc]]
+            value = g[at]
+            order = np.lexsort((at, value, doc))
+            at, doc, value = at[order], doc[order], value[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+            for a, d, v in zip(at[new].tolist(), doc[new].tolist(), value[new].tolist()):
+                for k in items[v]:
+                    yield d, k, a - int(gf[d]), n
+
     def _candidates(self, f: np.ndarray) -> list[tuple[int, int]]:
         values, pairs = _blocks(f), []
         for b, (near, owner) in enumerate(self.table):
@@ -136,7 +170,10 @@ def _find(items: list[tuple[int, str]], words: int, radius: int, similarity: flo
             for i, j, buf, off in A.slices(A.string_column(batch, "text"), SLICE):
                 buf = A.lower(buf)
                 start, end, first = A.words(buf, off)
-                h, sf = A.shingles(A.word_hashes(buf, start, end), first, words)
+                w = A.word_hashes(buf, start, end)
+                h, sf = A.shingles(w, first, words)
+                for d, k, p, m in matcher.short_items(w, first):
+                    out.append((ids[i + d].as_py(), matcher.ids[k], p, m, 1.0))
                 doc = np.searchsorted(sf, matcher.seeds(h), "right") - 1
                 for d in np.unique(doc).tolist():
                     for k, p, m, s in matcher.match(h[sf[d]:sf[d + 1]], int(first[d + 1] - first[d])):
@@ -157,10 +194,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id"
     """``(doc_id, item_id, first_word, n_words, similarity)``: for each
     document and item the most similar window (the first on a tie).
 
-    ``radius`` 31 of 128 bits lies three standard deviations beyond the bits
-    that a similarity of 0.8 is expected to change.  Words are runs other than
+    ``radius`` bounds the fingerprint search only: windows that share enough
+    shingles are compared whatever their bits, so none is missed.  Words are runs other than
     space and tab to carriage return, A-Z lower-cased.  A text of fewer than
-    five words is one shingle.  Null and empty texts and items match nothing;
+    five words is one shingle; an item of fewer matches wherever its words
+    stand, with similarity 1.  Null and empty texts and items match nothing;
     repeated rows match alike; a null id stays null.  Other columns are
     ignored.
     """

@@ -364,6 +364,28 @@ def test_contamination(spark, odd, empty):
     assert find_contamination(odd, bench.limit(0)).collect() == []
 
 
+def test_contamination_whole(spark):
+    """Short items inside longer texts, and windows whose bits differ too much."""
+    items = {1: "one", 2: "One two three", 3: "two  three four five", 4: P1, 5: "", 6: "one"}
+    docs = {1: "zero one two three four five six one", 2: "one", 3: "six one\ttwo three", 4: P1 + " end",
+            5: P1.replace("alpha30", "gamma"), 6: "three two one", 7: None, 8: "onetwo three four five"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.first_word, r.n_words) for r in find_contamination(table, bench).collect()}
+    want = {}
+    for d, t in docs.items():
+        for i, body in items.items():
+            a, b = words(t or ""), words(body)
+            at = [p for p in range(len(a) - len(b) + 1) if a[p:p + len(b)] == b]
+            if b and at:
+                want[d, i] = at[0], len(b)
+    assert got == want | {(5, 4): (0, 120)}
+    # whatever the radius, results are exact
+    got = {(r.doc_id, r.item_id): r.similarity for r in find_contamination(
+        table, bench.filter("item_id = 4"), radius=0).collect()}
+    assert got == pytest.approx(brute_contamination({4: docs[4], 5: docs[5]}, {4: P1}))
+
+
 # --- 8
 
 def test_chat_links(spark):
