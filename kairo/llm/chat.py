@@ -136,9 +136,11 @@ TOOLS = {
 def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every user turn as a call and every assistant turn as the result of the
     turn before it; a call depends on the call two turns earlier.  Some calls
-    break their schema: the limit is a string, zero or missing, by length."""
+    break their schema: the limit is a string, zero or missing, by length.  A
+    turn without conversation or number has no identifier (null): it links with
+    nothing, and ``link_tool_calls`` leaves it out."""
     c = conversations.select("conv_id", "turn", "role", "text")
-    call_id = lambda turn: F.concat_ws("-", F.col("conv_id"), turn)
+    call_id = lambda turn: F.concat(F.col("conv_id"), F.lit("-"), turn)
     n = F.char_length(F.coalesce("text", F.lit("")))
     limit = F.when(n % 5 == 0, F.lit('"limit":"3",')).when(n % 5 == 1, F.lit("")) \
              .otherwise(F.concat(F.lit('"limit":'), (n % 7).cast("string"), F.lit(",")))

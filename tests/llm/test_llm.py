@@ -388,6 +388,19 @@ def test_contamination_whole(spark):
 
 # --- 8
 
+def test_chat_null_identifiers(spark):
+    """Turns without conversation or number link with nothing."""
+    rows = [(1, 0, "user", "hello"), (1, 1, "assistant", "hi"), (None, 0, "user", "lost"),
+            (None, 0, "user", "too"), (None, 1, "assistant", "answer"), (2, None, "user", "x"),
+            (2, None, "assistant", "y"), (None, None, "user", "z")]
+    c = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    calls, results = chat.conversation_calls(c)
+    assert sorted(str(r.call_id) for r in calls.collect()) == ["1-0"] + ["None"] * 4
+    assert sorted(str(r.call_id) for r in results.collect()) == ["1-0"] + ["None"] * 2
+    got = chat.link_tool_calls(calls, results, chat.TOOLS).collect()
+    assert [(r.call_id, r.conv_id, r.status, r.level) for r in got] == [("1-0", 1, "linked", 0)]
+
+
 def test_chat_links(spark):
     tools = {"f": {"a": {"type": "integer", "required": True, "minimum": 1},
                    "b": {"type": "string", "required": False, "enum": ["x", "y"]}}}
