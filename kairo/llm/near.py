@@ -253,6 +253,6 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
 
     out = slim.join(classes, ["n", "s1", "s2"], "left") \
               .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
