@@ -320,6 +320,19 @@ def test_quality(spark, odd, empty):
     assert quality.select_documents(empty, labels).collect() == []
 
 
+def test_quality_held_out(spark):
+    """Documents whose labels neither model nor cut has seen (by id hash)."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    got = {r.doc_id: r.selected for r in quality.select_documents(docs, labels.filter(~out)).collect()}
+    rows = labels.filter(out).collect()
+    good = [got[r.doc_id] for r in rows if r.quality == 1 and r.toxic == 0]
+    toxic = [got[r.doc_id] for r in rows if r.toxic == 1]
+    poor = [got[r.doc_id] for r in rows if r.quality == 0]
+    assert min(len(good), len(toxic), len(poor)) > 50
+    assert np.mean(good) > 0.98 and np.mean(toxic) < 0.15 and np.mean(poor) < 0.05
+
+
 def test_kth_largest(spark):
     rnd = random.Random(5)
     values = [rnd.choice([rnd.gauss(0, 1), 0.5, -3.0]) for _ in range(3000)]
