@@ -79,8 +79,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("encoding", encoding),
 ]
 
-#: Hashed models, signatures and merges have no SQL form; the stages are tested
-#: against brute force instead.
+#: Hashed models, signatures and merges have no SQL form; on a small fixture the
+#: stages after quality are tested against brute force instead, one on another.
 ORACLE_SQL = None
 
 

@@ -581,3 +581,33 @@ def test_pipeline(spark, odd):
     assert math.isclose(P.STAGES[-1][1](spark, docs, SF).count(), docs.count())
     left = {r.doc_id for r in docs.collect()}
     assert 2 in left and 9 not in left and 11 not in left      # one of the near copies stays
+
+
+def test_pipeline_stages(spark, docs):
+    """The stages after quality, each on the rows of the one before, against brute force."""
+    import sentencepiece
+    import corpus_pipeline as P
+    repeated = spark.createDataFrame([(30, "\n".join(["top", *["same"] * 6]), "en", 1, 2, 3, "s"),
+                                      (31, "\n".join(["same"] * 4), "en", 1, 2, 3, "s")], SCHEMA)
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    planted = spark.createDataFrame([(32, "x " + items[min(items)] + " y", "en", 1, 2, 3, "s")], SCHEMA)
+    now = docs.union(repeated).union(planted).withColumns(
+        {"source": F.lit("s"), "n_chars": F.lit(1).cast("long")}).select(*P.COLUMNS)
+    stages = dict(P.STAGES)
+    want = texts(now)
+    lines_ = brute_lines(want)
+    want = {d: lines_[d][2] for d in want if not lines_[d][1] or lines_[d][2].strip(" \t\r\n")}
+    now = stages["line_dedup"](spark, now, SF)
+    assert texts(now) == want and 31 not in want
+    near_ = brute_near(want, 5, 4, 5)
+    want = {d: t for d, t in want.items() if near_[d][1] == d}
+    now = stages["near_duplicates"](spark, now, SF)
+    assert texts(now) == want and len(want) < len(near_)
+    found = {d for d, _ in brute_contamination(want, items)}
+    want = {d: t for d, t in want.items() if d not in found}
+    now = stages["decontamination"](spark, now, SF)
+    assert texts(now) == want and 32 in found
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in stages["encoding"](spark, now, SF).collect()}
+    ids = {d: sp.encode(t) for d, t in want.items()}
+    assert got == {d: (len(i), sha(",".join(map(str, i)))) for d, i in ids.items()}
