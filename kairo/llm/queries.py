@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairo.llm import chat, sharding
+from kairo.llm import chat, sharding, vector_codes
 from kairo.llm.decontaminate import find_contamination
 from kairo.llm.lines import remove_repeated_lines
 from kairo.llm.near import near_components
@@ -98,10 +98,17 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product-quantised codes of all vectors, with the errors they leave."""
+    return vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings")) \
+                       .withColumn("code", vector_codes.code_hex()).drop("label")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_line_dedup, op3_token_counts, op4_document_fingerprints, op5_sentencepiece,
     op6_quality_classifier, op7_benchmark_decontamination, op8_chat_formatting,
-    op9_minhash_near_dedup, op10_suffix_array_dedup,
+    op9_minhash_near_dedup, op10_suffix_array_dedup, op11_vector_codes,
 )}
 
-ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op8_chat_formatting": chat.ORACLE}
+ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op8_chat_formatting": chat.ORACLE,
+                          "op11_vector_codes": vector_codes.ORACLE}
