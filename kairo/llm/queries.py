@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kairo.llm import chat, sharding, vector_codes
 from kairo.llm.decontaminate import find_contamination
+from kairo.llm.html_text import extract_text
 from kairo.llm.lines import remove_repeated_lines
 from kairo.llm.near import near_components
 from kairo.llm.pieces import round_trip
@@ -104,10 +105,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .withColumn("code", vector_codes.code_hex()).drop("label")
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_line_dedup, op3_token_counts, op4_document_fingerprints, op5_sentencepiece,
     op6_quality_classifier, op7_benchmark_decontamination, op8_chat_formatting,
     op9_minhash_near_dedup, op10_suffix_array_dedup, op11_vector_codes,
+    op12_html_extraction,
 )}
 
 ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op8_chat_formatting": chat.ORACLE,
