@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairo.llm import chat, sharding, vector_codes
+from kairo.llm import chat, collocations, sharding, vector_codes
 from kairo.llm.decontaminate import find_contamination
 from kairo.llm.html_text import extract_text
 from kairo.llm.lines import remove_repeated_lines
@@ -110,12 +110,18 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's 2,000 best phrases of two to four words."""
+    return collocations.mine_phrases(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_line_dedup, op3_token_counts, op4_document_fingerprints, op5_sentencepiece,
     op6_quality_classifier, op7_benchmark_decontamination, op8_chat_formatting,
     op9_minhash_near_dedup, op10_suffix_array_dedup, op11_vector_codes,
-    op12_html_extraction,
+    op12_html_extraction, op13_collocations,
 )}
 
 ORACLE: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op8_chat_formatting": chat.ORACLE,
-                          "op11_vector_codes": vector_codes.ORACLE}
+                          "op11_vector_codes": vector_codes.ORACLE,
+                          "op13_collocations": collocations.ORACLE}
