@@ -71,6 +71,39 @@ def range_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return (h[end] - h[start]) * powers(len(h) + 1)[1][start]
 
 
+#: Primes below 2**31: a polynomial modulo a prime has no texts that collide whatever
+#: the base, as one modulo a power of two has.
+_PRIMES = (2_147_483_647, 2_147_483_629)
+_residues: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _prime_powers(p: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n-1 of the base and of its inverse, modulo ``p``."""
+    if p not in _residues or len(_residues[p][0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        out = []
+        for base in (_BASE % p, pow(_BASE % p, -1, p)):
+            a, m = np.ones(size, np.uint64), 1
+            while m < size:                      # the second half is the first one, shifted
+                a[m:2 * m] = a[:m] * U64(pow(base, m, p)) % U64(p)
+                m *= 2
+            out.append(a)
+        _residues[p] = tuple(out)
+    return _residues[p]
+
+
+def prime_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """62-bit hashes of the ranges: two polynomials, each modulo its prime."""
+    out = np.zeros(len(start), np.uint64)
+    for p in _PRIMES:
+        power, inverse = _prime_powers(p, len(buf) + 1)
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum((_BYTE[buf] % U64(p)) * power[:len(buf)] % U64(p), out=total[1:])
+        h = (total[end] - total[start]) % U64(p) * inverse[start] % U64(p)
+        out = out << U64(31) | h
+    return out
+
+
 def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column as text; null reads as the empty text."""
     col = batch.column(batch.schema.get_field_index(name))
@@ -130,7 +163,7 @@ def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix(range_hashes(prefix_hashes(buf), start, end))
+    return mix(prime_hashes(buf, start, end) + (end - start).astype(U64) * _COEF[-1])
 
 
 def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

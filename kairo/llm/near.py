@@ -146,6 +146,24 @@ def _prefix_pairs(docs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
             .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
 
 
+def _own_ids(src: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``src`` with an id of its own for every row that repeats an id, above all given
+    ones, and the written table ``(node, doc_id)`` of these; ``None`` if none repeats.
+    Numbers are given in a written table, so they are the same in every retry."""
+    often = src.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    often, n = materialize(often.select("doc_id"), "near-repeated")
+    if not n:
+        release(often)
+        return src, None
+    top = src.agg(F.max("doc_id")).first()[0]
+    rows, _ = materialize(src.join(often, "doc_id", "left_semi").select(
+        (F.lit(top) + 1 + F.monotonically_increasing_id()).alias("node"), "doc_id", "text"),
+        "near-rows")
+    others = src.join(often, "doc_id", "left_anti")
+    return (others.unionByName(rows.select(F.col("node").alias("doc_id"), "text")),
+            rows.select("node", "doc_id"))
+
+
 def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
                     words: int = 5, num: int = 4, den: int = 5,
                     coordinates: int = 40) -> DataFrame:
@@ -155,10 +173,11 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
     of distinct ``words``-word shingles (A-Z lower-cased; a shorter text is
     one shingle).  A null, empty or blank text has no shingle and links with
     nothing.  Rows that repeat an id count as one document that links if any
-    of its texts does.  A row without an id keeps a null component and is
-    kept.  Other columns are ignored.
+    of its texts does, and each has its own text's ``n_shingles``.  A row without
+    an id keeps a null component and is kept.  Other columns are ignored.
     """
     src = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    src, own = _own_ids(src)
     need = match_threshold(coordinates, num, den)
     prefix = coordinates - need + 1
     prof, _ = materialize(src.mapInArrow(
@@ -199,11 +218,6 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
         return materialize(found.mapInArrow(_confirm(num, den), "a long, b long, linked boolean"),
                            "near-checked")[0]
 
-    def label(edges: DataFrame | None, old: DataFrame | None) -> DataFrame | None:
-        if edges is None:
-            return None
-        return connected_components(edges)
-
     def with_components(labels: DataFrame | None) -> DataFrame:
         if labels is None:
             return posts.withColumn("component", F.col("id"))
@@ -237,7 +251,7 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
         tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
         linked = done.filter("linked").select("a", "b")
         edges = linked if edges is None else edges.union(linked)
-        labels = label(edges, labels)
+        labels = connected_components(edges)
 
     # what is left: documents of different components that still share a list
     now = with_components(labels)
@@ -248,11 +262,23 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
                           .select("id", "n", "component").distinct(), "near-open")
     pairs = _prefix_pairs(rest, sets, num, den).join(tried, ["a", "b"], "left_anti")
     edges = edges.union(check(pairs, signatures=False).filter("linked").select("a", "b"))
+    if own is not None:
+        # a repeated id joins its rows' classes; rows of no shingle join by themselves
+        of_class = slim.filter("n > 0").join(classes, ["n", "s1", "s2"]).select(
+            F.col("doc_id").alias("node"), "rep")
+        edges = edges.union(own.join(of_class, "node", "left").select(
+            F.col("doc_id").alias("a"), F.coalesce("rep", "node").alias("b")))
     labels = connected_components(edges)
     release(posts, sets, rest)
 
     out = slim.join(classes, ["n", "s1", "s2"], "left") \
               .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    if own is not None:
+        found = labels.select(F.col("id").alias("given"), F.col("component").alias("whole"))
+        of = own.select(F.col("node").alias("doc_id"), F.col("doc_id").alias("given")) \
+                .join(found, "given")
+        out = out.join(of, "doc_id", "left").withColumns({
+            "doc_id": F.coalesce("given", "doc_id"), "component": F.coalesce("whole", "component")})
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
