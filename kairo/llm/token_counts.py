@@ -5,7 +5,8 @@ characters and the tokens below it.  An edit finds the pre-tokens it touches by
 descending the tree, goes back by the boundary context, and encodes from there
 until its pre-tokens meet the old ones again.  The new pre-tokens take the
 place of the touched ones in one leaf, the other touched leaves become empty,
-and only the sums above them are updated.
+and only the sums above them are updated.  A leaf that holds several pre-tokens keeps
+the list of them, so a later edit stops at their boundaries too.
 
 Pre-tokens depend on the text to their right only: on at most the two
 characters after their end (a run of white space gives its last character to a
@@ -77,8 +78,8 @@ class CountTree:
         self._chars, self._sums = np.zeros(2 * size, np.int64), np.zeros(2 * size, np.int64)
         self._chars[size:size + n] = list(map(len, parts))
         self._sums[size:size + n] = tokens.counts(parts)
-        #: leaves that an edit filled with several pre-tokens: their lengths
-        self._inner: dict[int, list[int]] = {}
+        #: leaves that an edit filled: their pre-tokens as (characters, tokens)
+        self._inner: dict[int, list[tuple[int, int]]] = {}
         for a in (self._chars, self._sums):
             lo = size
             while lo > 1:
@@ -116,39 +117,63 @@ class CountTree:
         self.text = old[:start] + new + old[end:]
         shift = len(new) - (end - start)
         if not n:
+            done = self.encoded
             self.__init__(self.text, self._tokens)
+            self.encoded += done
             return self.total
         # the pre-token of the character before the edit's context
-        leaf, begin = self._leaf_at(min(max(start - CONTEXT, 0), n - 1))
+        target = min(max(start - CONTEXT, 0), n - 1)
+        leaf, begin = self._leaf_at(target)
+        head: list[tuple[int, int]] = []
+        first = begin
+        for chars, count in self._inner.get(leaf, ()):
+            if begin + chars > target:
+                break
+            head.append((chars, count))
+            begin += chars
         # old boundaries from the edit's end on, leaf by leaf
-        last, last_begin = leaf, begin
+        last, last_begin = leaf, first
         parts: list[str] = []
-        place = begin
+        tail: list[tuple[int, int]] = []
         stop = None
         for m in self._tokens.iterate(self.text, begin):
             parts.append(m.group())
-            place = m.end()
-            if place < start + len(new):
+            if m.end() < start + len(new):
                 continue
-            goal = place - shift                     # the same place in the old text
+            goal = m.end() - shift                   # the same place in the old text
             while last_begin + int(self._chars[last]) < goal and last + 1 < 2 * self._size:
                 last_begin += int(self._chars[last])
                 last += 1
-            if last_begin + int(self._chars[last]) == goal and goal >= end:
-                stop = last
+            rest = self._after(last, goal - last_begin) if goal >= end else None
+            if rest is not None:
+                stop, tail = last, rest
                 break
         if stop is None:                             # the edit reaches the end of the text
             stop = 2 * self._size - 1
-        counts = self._tokens.counts(parts)
-        self.encoded += len(parts)
+        fresh = list(zip(map(len, parts), self._tokens.counts(parts)))
+        self.encoded += len(fresh)
         for k in range(leaf, stop + 1):
             if self._chars[k]:
                 self._set(k, 0, 0)
             self._inner.pop(k, None)
-        self._set(leaf, sum(map(len, parts)), sum(counts))
-        self._inner[leaf] = list(map(len, parts))
+        now = head + fresh + tail
+        self._set(leaf, sum(c for c, _ in now), sum(t for _, t in now))
+        self._inner[leaf] = now
         return self.total
 
+    def _after(self, leaf: int, place: int) -> list[tuple[int, int]] | None:
+        """The leaf's pre-tokens from ``place`` on, None if none begins there."""
+        if place == int(self._chars[leaf]):
+            return []
+        inner = self._inner.get(leaf) or [(int(self._chars[leaf]), int(self._sums[leaf]))]
+        if not place:
+            return list(inner)
+        for k, (chars, _) in enumerate(inner):
+            place -= chars
+            if place <= 0:
+                return inner[k + 1:] if not place else None
+        return None
+
 
 def count_tokens(docs: DataFrame, ranks: str, pattern: str, edits: Column, *,
                  id: str = "doc_id", text: str = "text") -> DataFrame:
