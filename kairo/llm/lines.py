@@ -1,14 +1,20 @@
 """Operator 2: removal of repeated multi-line chunks.
 
-A text is cut into chunks of lines at content-defined places.  A rolling hash
-over ``window`` line hashes gives each line a role: lines of the *start* role
-open a chunk (judged with the lines after them), lines of the *end* role close
-one (judged with the lines before them).  A role depends on the passage's own
-lines, so insertions elsewhere do not shift it, and a passage is cut alike
-wherever it stands.  ``chunkings`` independent role assignments are used.
-Roles alone miss passages whose ends are cut nowhere alike (and runs of equal
-lines, which share a role), so every two neighbouring lines are a chunk too:
-whatever repeats in two or more lines is covered by pairs that repeat.
+A text is cut into chunks of lines at content-defined places.  Rolling hashes over
+line hashes give each line a role: lines of the *start* role open a chunk (judged
+with the lines after them), lines of the *end* role close one (judged with the lines
+before them).  A role depends on the passage's own lines, so insertions elsewhere do
+not shift it, and a passage is cut alike wherever it stands.  ``chunkings``
+independent role assignments are used, whose hashes roll over ``windows`` lines in
+turn: a window of one judges a line by itself, so a short passage can be cut alike
+whatever surrounds it; longer windows tell equal lines apart by their neighbours.
+
+All lines of a run of equal lines have the same roles, so a run is cut into chunks of
+fixed size, two lines from its start on (and its last two).
+
+The cuts alone decide what is found.  A passage is missed if no chunking puts a
+boundary before and after two or more of its lines and none between; README states the
+share found of all repeated pairs of lines.
 
 Chunks of two or more lines that occur more than once, by the hash of their
 lines, are fetched from the texts and compared with the first occurrence
@@ -49,21 +55,38 @@ def line_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.concatenate([[0], np.cumsum(lines)])
 
 
-def chunks(h: np.ndarray, first: np.ndarray, window: int, chunkings: int):
-    """Distinct multi-line chunks ``(document, first line, lines, key)`` of all
-    chunkings and all pairs of neighbouring lines; ``h`` holds line hashes."""
-    n = len(h)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+def _rolling(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes over ``window`` line hashes from each line on, and up to each line."""
     ahead, back = h.copy(), h.copy()
-    for k in range(1, min(window, n)):
+    for k in range(1, min(window, len(h))):
         near = doc[k:] == doc[:-k]
         ahead[:-k] += np.where(near, h[k:], U64(0)) * A.seeds(k + 1, 20)[k]
         back[k:] += np.where(near, h[:-k], U64(0)) * A.seeds(k + 1, 21)[k]
+    return ahead, back
+
+
+def _runs(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Places of the two-line chunks that runs of equal lines are cut into."""
+    same = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
+    edge = np.diff(np.concatenate([[0], same.astype(np.int8), [0]]))
+    start, size = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1) + 1
+    pairs = size // 2
+    step = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    return np.concatenate([np.repeat(start, pairs) + 2 * step, (start + size - 2)[size % 2 == 1]])
+
+
+def chunks(h: np.ndarray, first: np.ndarray, windows: tuple[int, ...], chunkings: int):
+    """Distinct multi-line chunks ``(document, first line, lines, key)`` of all
+    chunkings and of runs of equal lines; ``h`` holds line hashes."""
+    n = len(h)
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    rolled = [_rolling(h, doc, w) for w in windows]
     edge = np.zeros(n + 1, bool)
     edge[first] = True
-    pairs = np.flatnonzero(doc[1:] == doc[:-1])
-    begins, sizes = [pairs], [np.full(len(pairs), 2)]
-    for salt in A.seeds(chunkings, 22):
+    begins = [_runs(h, doc)]
+    sizes = [np.full(len(begins[0]), 2)]
+    for k, salt in enumerate(A.seeds(chunkings, 22)):
+        ahead, back = rolled[k % len(rolled)]
         opens = (A.mix(ahead ^ salt) & U64(0xFFFF)) < U64(ROLE)
         closes = (A.mix(back ^ salt) & U64(0xFFFF)) >= U64((1 << 16) - ROLE)
         cut = edge.copy()
@@ -81,7 +104,7 @@ def chunks(h: np.ndarray, first: np.ndarray, window: int, chunkings: int):
     return doc[begin], begin - first[doc[begin]], size, key
 
 
-def _chunk_rows(window: int, chunkings: int):
+def _chunk_rows(windows: tuple[int, ...], chunkings: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -89,7 +112,7 @@ def _chunk_rows(window: int, chunkings: int):
                 start, end, first = line_spans(buf, off)
                 h = A.mix(A.range_hashes(A.prefix_hashes(buf), start, end)
                           + (end - start).astype(U64))
-                doc, line, size, key = chunks(h, first, window, chunkings)
+                doc, line, size, key = chunks(h, first, windows, chunkings)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(ids[i:j][doc]),
                      pa.array(line.astype(np.int32)), pa.array(size.astype(np.int32))],
@@ -189,11 +212,12 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
-                          window: int = 2, chunkings: int = 32) -> DataFrame:
+                          windows: tuple[int, ...] = (1, 2, 3), chunkings: int = 32
+                          ) -> DataFrame:
     """One row per document: ``(doc_id, n_lines, n_removed, kept_sha256, kept)``.
 
-    A line goes if it stands in two neighbouring lines that occur earlier
-    (smaller id, or same document and earlier place) and do not overlap their
+    A line goes if it stands in a chunk of two or more lines that occurs earlier
+    (smaller id, or same document and earlier place) and does not overlap its
     first occurrence: of a run of equal lines, the first two or three stay.
     Lines end at line feeds.  Null text reads as empty, which is one empty
     line.  Rows that repeat an id with the same text count as one document and
@@ -202,7 +226,7 @@ def remove_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text
     """
     src = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = src.filter("doc_id IS NOT NULL").mapInArrow(
-        _chunk_rows(window, chunkings), "key long, doc_id long, line int, n int")
+        _chunk_rows(windows, chunkings), "key long, doc_id long, line int, n int")
     owners = (rows.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"),
                                       F.count("*").alias("c"))
               .filter("c > 1").select("key", "first"))
