@@ -1,20 +1,23 @@
 """Operator 7: benchmark decontamination by SimHash windows.
 
 Benchmark items and document windows of an item's length in words are
-fingerprinted from their five-word shingles (128 bits).  A window is compared
-with an item if their fingerprints differ in at most ``radius`` bits, or if it
-holds as many of the item's shingles as ``similarity`` needs, so that no bits
-can lose a window.  Near fingerprints are found by multi-index blocks: of eight 16-bit blocks, one must differ
-in at most ``radius // 8`` bits, so each item is listed under every block value
-that near, and a window looks up its eight values.  An item of fewer than five words
-is sought as it is, in windows of its own word count.  Candidates are verified by
-the exact weighted similarity of their shingles (sum of the smaller counts over
-sum of the larger), at least ``similarity``.
+fingerprinted from their five-word shingles (128 bits).  A window is a candidate
+for an item if their fingerprints differ in at most ``radius`` bits.  Such pairs
+are found by multi-index blocks: of eight 16-bit blocks, one must differ in at most
+``radius // 8`` bits, so each item is listed under every block value that near, a
+window looks up its eight values, and no pair within the radius is missed.
+Candidates are verified by the exact weighted similarity of their shingles (sum of the
+smaller counts over sum of the larger), at least ``similarity``.
+
+A window of the wanted similarity can have bits beyond the radius.  At similarity 0.8
+about 20 of 128 bits differ, 31 are three standard deviations more; README states
+the share missed.  An item of fewer than five words is one shingle, sought in windows
+of its own word count; such a window's fingerprint is the item's own.
 
 Only windows that hold a shingle of some item are fingerprinted; any other has
-similarity zero.  The benchmark's tables are broadcast when the item bytes are
-within ``bound``; a larger benchmark is dealt out in blocks within the bound,
-each matched against all documents.
+similarity zero.  The benchmark is dealt out in blocks of at most ``bound`` bytes of
+items, one in most cases; each is matched against all documents.  The driver holds one
+block at a time; with several, each block's matches are written before the next.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from kairo.llm import arrays as A
 from kairo.llm.simhash import fingerprints
+from kairo.session import materialize
 
 BLOCKS = 8
 SLICE = 1 << 18
@@ -95,13 +99,11 @@ class Matcher:
         ``(item, first word, words, similarity)``."""
         seeds = self.seeds(h)
         starts = defaultdict(set)                     # window length in shingles -> first shingles
-        hits = defaultdict(list)                      # item -> places of its shingles
         for s in seeds.tolist():
             for k in self.items_of[int(h[s])]:
                 m = max(1, int(self.length[k]) - self.words + 1)
                 m = min(m, len(h))
                 starts[m].update(range(max(0, s - m + 1), min(s, len(h) - m) + 1))
-                hits[m, k].append(s)
         best: dict[int, tuple[float, int, int]] = {}
         for m, places in starts.items():
             place = np.array(sorted(places))
@@ -109,12 +111,7 @@ class Matcher:
                 p = place[i:i + 4096]
                 rows = h[p[:, None] + np.arange(m)]
                 f = fingerprints(rows.ravel(), np.arange(len(p) + 1) * m)
-                pairs = set(self._candidates(f))
-                for (_, k), at in ((x, y) for x, y in hits.items() if x[0] == m):
-                    n = np.searchsorted(at, p + m) - np.searchsorted(at, p)
-                    least = self.similarity / (1 + self.similarity) * (m + self.terms[k].total())
-                    pairs.update((w, k) for w in np.flatnonzero(n >= least - 1e-6).tolist())
-                for w, k in sorted(pairs):
+                for w, k in sorted(self._candidates(f)):
                     if max(1, int(self.length[k]) - self.words + 1) != m and m != len(h):
                         continue
                     s = self._similarity(rows[w], k)
@@ -137,9 +134,10 @@ class Matcher:
             at, doc, value = at[order], doc[order], value[order]
             new = np.ones(len(at), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-            for a, d, v in zip(at[new].tolist(), doc[new].tolist(), value[new].tolist()):
-                for k in items[v]:
-                    yield d, k, a - int(gf[d]), n
+            at, doc, value = at[new], doc[new], value[new]
+            for w, k in self._candidates(fingerprints(value, np.arange(len(value) + 1))):
+                if k in items.get(int(value[w]), ()):
+                    yield int(doc[w]), k, int(at[w] - gf[doc[w]]), n
 
     def _candidates(self, f: np.ndarray) -> list[tuple[int, int]]:
         values, pairs = _blocks(f), []
@@ -194,11 +192,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id"
     """``(doc_id, item_id, first_word, n_words, similarity)``: for each
     document and item the most similar window (the first on a tie).
 
-    ``radius`` bounds the fingerprint search only: windows that share enough
-    shingles are compared whatever their bits, so none is missed.  Words are runs other than
-    space and tab to carriage return, A-Z lower-cased.  A text of fewer than
-    five words is one shingle; an item of fewer matches wherever its words
-    stand, with similarity 1.  Null and empty texts and items match nothing;
+    Windows whose fingerprints differ from the item's in more than ``radius`` bits
+    are not compared.  Words are runs other than space and tab to carriage return,
+    A-Z lower-cased.  A text of fewer than five words is one shingle; an item of
+    fewer matches wherever its words stand, with similarity 1.  Null and empty texts and items match nothing;
     repeated rows match alike; a null id stays null.  Other columns are
     ignored.
     """
@@ -215,5 +212,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id"
     for b in range(blocks):
         rows = [(r.item_id, r.text) for r in items.filter(part == b).orderBy("item_id", "text").collect()]
         found = src.mapInArrow(_find(rows, words, radius, similarity), schema)
+        if blocks > 1:
+            found, _ = materialize(found, "benchmark-block")
         out = found if out is None else out.union(found)
     return out
