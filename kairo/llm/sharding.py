@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kairo.llm.joins import lookup
 from kairo.session import materialize, release
 
 #: Capacities tried in one round of the search.
@@ -105,9 +106,9 @@ def shard_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
         return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
                            F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"),
                            F.lit(None).cast("int").alias("grown_shard"))
-    first = rows.groupBy("sha").agg(F.min("doc_id").alias("first"))
+    first = rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     placed, _ = materialize(_ordered(
-        rows.join(first, "sha"), ["first", "sha", "doc_id", "text_crc32"],
+        lookup(rows, first, ["sha"], "copies"), ["first", "sha", "doc_id", "text_crc32"],
         {"start": F.col("size"), "row": F.lit(1)}, "shard-order"), "shard-prefix")
     groups, _ = materialize(placed.groupBy("first", "sha").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
