@@ -151,6 +151,18 @@ def _range_of(bounds: list) -> Column:
     return F.coalesce(group * size + below(inner), F.lit(0))
 
 
+def _one_each(df: DataFrame, number: str, n: int) -> DataFrame:
+    """Rows dealt out by a column of numbers 0..n-1, a partition to each number.
+    Dealing by the number itself would put several into one partition and none into
+    another, as ``repartition`` takes its hash; so each number goes by a value whose
+    hash is its own partition's."""
+    spark = df.sparkSession
+    found = dict(spark.range(64 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p"))
+                 .agg(F.min("id")).collect())
+    keys = F.lit([int(found.get(p, p)) for p in range(n)]).cast("array<long>")
+    return df.repartition(n, F.element_at(keys, F.col(number) + 1))
+
+
 def _edited(text: str, other: str) -> str:
     k = len(text) // 4
     return text[:len(text) - k] + other[:k] if k else text
@@ -233,7 +245,7 @@ def fingerprint_edits(docs: DataFrame, id: str = "doc_id", text: str = "text", *
         guests = guests.union(src.filter("doc_id IS NULL").withColumn("r", F.lit(before[None])))
     both = home.select("r", "guest", "doc_id", "text").union(
         guests.select("r", F.lit(True), "doc_id", "text"))
-    return (both.repartition("r").sortWithinPartitions("r", "guest", "doc_id", "text")
+    return (_one_each(both, "r", len(bounds) + 1).sortWithinPartitions("r", "guest", "doc_id", "text")
             .mapInArrow(_walk(words), _SCHEMA))
 
 
