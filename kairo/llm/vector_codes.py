@@ -62,19 +62,31 @@ class Cells:
 
     def __init__(self, book: np.ndarray, cell: int, limit: int = 1 << 14):
         self.book, self.cell, self.limit = book, cell, limit
+        self.book_t = book.T.astype(np.float64)
+        self.norm = (self.book_t ** 2).sum(axis=0)
         self.memo: dict[bytes, np.ndarray] = {}
 
     def survivors(self, low: np.ndarray) -> list[np.ndarray]:
         """Ascending entries that no other dominates in the boxes from ``low``."""
         out = []
-        step = max(1, self.PAIRS // max(1, len(self.book)))
+        step = max(1, self.PAIRS // len(self.book))
+        half = (self.cell - 1) / 2
+        reach = half * self.book.shape[1] ** 0.5
         for i in range(0, len(low), step):
-            a = low[i:i + step, None, :] - self.book
+            # by the boxes' middles first: an entry further from it than the nearest
+            # one by more than the diagonal is dominated; the slack covers rounding
+            mid = low[i:i + step] + half
+            far = (mid ** 2).sum(axis=1)[:, None] + self.norm
+            d = np.sqrt(np.maximum(far - 2 * mid @ self.book_t, 0))
+            slack = 1e-6 * (1 + np.sqrt(far))
+            box, entry = np.nonzero(d <= d.min(axis=1)[:, None] + 2 * reach + slack)
+            a = low[i + box] - self.book[entry]
             b = a + (self.cell - 1)
-            least = (np.maximum(np.maximum(a, -b), 0) ** 2).sum(axis=2)
-            most = (np.maximum(np.abs(a), np.abs(b)) ** 2).sum(axis=2)
-            keep = least <= most.min(axis=1)[:, None]
-            out += [np.flatnonzero(k) for k in keep]
+            least = (np.maximum(np.maximum(a, -b), 0) ** 2).sum(axis=1)
+            most = (np.maximum(np.abs(a), np.abs(b)) ** 2).sum(axis=1)
+            start = np.searchsorted(box, np.arange(len(mid)))
+            keep = least <= np.minimum.reduceat(most, start)[box]
+            out += np.split(entry[keep], np.cumsum(np.bincount(box[keep], minlength=len(mid)))[:-1])
         return out
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
