@@ -11,7 +11,8 @@ then lands in a single task.  ``prefix_scan`` cuts such keys into slices:
    exchange).  Keys with more than ``chunk_rows`` rows are *hot*.  A scan
    without keys is one key that is always cut, into at least as many slices
    as there are shuffle partitions.
-2. Slices have equal numbers of rows: their bounds are approximate quantiles
+2. A hot key is cut into slices of equal numbers of rows, as many as its own
+   count asks for (a power of two): their bounds are approximate quantiles
    of the key's first order column.  Rows that share a bound's value form a
    slice of their own, and where that value alone exceeds a slice (a burst) it
    is cut again at quantiles of the second order column.  The slice is a pure
@@ -24,15 +25,17 @@ then lands in a single task.  ``prefix_scan`` cuts such keys into slices:
    joined back on (key, slice), by which the rows already lie, so only the
    carry moves.
 
-Bounds and carry are broadcast only if their size, known from the count of hot
-keys and slices, is within ``BROADCAST_BYTES``.  Doubles are added in the order
-of rows inside a slice and of slices inside a key; everything else does not
-depend on the cut at all.
+The bounds are always broadcast, and their size has a bound that holds for any
+input: slices have at least ``rows / TOTAL_SLICES`` rows, so there are at most
+``TOTAL_SLICES`` hot keys and four times as many bounds, ``BOUND_BYTES`` a slice
+in all.  No row is ever dealt by its key alone unless the key fits a slice.  The
+carry is broadcast only within ``BROADCAST_BYTES``; beyond it the join takes the
+partitioning that the rows have.  Doubles are added in the order of rows inside
+a slice and of slices inside a key; everything else does not depend on the cut.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -123,9 +126,13 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
 # Session setting for the rows per chunk of a hot key.
 CHUNK_ROWS_CONF = "kairo.scan.chunkRows"
 DEFAULT_CHUNK_ROWS = 500_000
-#: Most slices of one key; beyond it slices grow.
-MAX_SLICES = 10_000
-#: Largest table that a scan broadcasts.
+#: Slices of all hot keys together, about; on larger inputs slices have more rows.
+TOTAL_SLICES = 1 << 17
+#: Most slices of one key, as a power of two: what its quantiles' digest can hold.
+MAX_LG = 15
+#: Bytes of a hot key's name and bounds for each of its slices, at most.
+BOUND_BYTES = 256
+#: Largest carry that a scan broadcasts.
 BROADCAST_BYTES = 8 << 20
 
 
@@ -167,21 +174,40 @@ def _maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 
 def _quantiles(position: Column, slices: int) -> Column:
     steps = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    return F.percentile_approx(position, steps, max(10_000, 20 * slices))
-
-
-def _repeated(q: str) -> Column:
-    """Distinct values that stand more than once in a sorted array."""
-    pairs = F.arrays_zip(F.expr(f"slice({q}, 1, size({q}) - 1)").alias("a"),
-                         F.expr(f"slice({q}, 2, size({q}) - 1)").alias("b"))
-    return F.array_distinct(F.transform(F.filter(pairs, lambda p: p["a"] == p["b"]),
-                                        lambda p: p["a"]))
-
-
-def _grouped(values: str, step: int) -> Column:
-    """The array cut into arrays of ``step``."""
-    return F.expr(f"transform(sequence(0, (size({values}) - 1) div {step}), "
-                  f"k -> slice({values}, cast(k * {step} + 1 as int), {step}))")
+    return F.percentile_approx(position, steps, max(10_000, 4 * slices))
+
+
+def _lg(slices: Column) -> Column:
+    """Number of slices, as the exponent of the next power of two."""
+    return F.least(F.greatest(F.ceil(F.log2(slices)), F.lit(1)), F.lit(MAX_LG)).cast("int")
+
+
+def _bounds(rows: DataFrame, by: Sequence[str], position: Column, classes: Sequence[int]
+            ) -> DataFrame:
+    """Quantiles ``_q`` of the position per group of ``by``, in ``2 ** _lg`` parts;
+    ``classes``: the values of ``_lg`` that occur."""
+    found = [_quantiles(F.when(F.col("_lg") == c, position), 1 << c).alias(f"_q{c}") for c in classes]
+    return rows.groupBy(*by, "_lg").agg(*found).select(
+        *by, "_lg", F.coalesce(*[F.col(f"_q{c}") for c in classes]).alias("_q"))
+
+
+def _split_bounds(q: DataFrame) -> DataFrame:
+    """Sorted quantiles ``_q`` as distinct bounds in groups of ``_step`` (for a
+    two-level lookup), and the values that stand more than once (``_bursts``) with
+    how often."""
+    step = F.expr("cast(pow(2, _lg div 2) as int)")
+    again = F.expr("""transform(
+        array_distinct(transform(
+            filter(transform(_q, (v, i) -> named_struct('v', v, 'i', i)),
+                   p -> p.i > 0 AND get(_q, p.i - 1) = p.v), p -> p.v)),
+        v -> named_struct('v', v, 'n', size(filter(_q, x -> x = v))))""")
+    return (q.withColumns({"_step": step, "_bursts": again, "_b": F.array_distinct("_q")})
+            .withColumn("_groups", F.expr(
+                "transform(sequence(0, (size(_b) - 1) div _step), "
+                "k -> slice(_b, cast(k * _step + 1 as int), _step))"))
+            .withColumn("_tops", F.transform(F.expr("slice(_groups, 1, size(_groups) - 1)"),
+                                             lambda g: F.element_at(g, -1)))
+            .drop("_q", "_b"))
 
 
 @dataclass(frozen=True)
@@ -199,53 +225,67 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     (0 throughout for keys of at most ``chunk_rows`` rows), and ``_hot``."""
     keys, order = list(keys), list(order)
     spark = df.sparkSession
-    counted = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")) \
-        if keys else df.agg(F.count(F.lit(1)).alias("_n"))
-    least = chunk_rows if keys else 0
-    hot, n_hot = materialize(counted.filter(F.col("_n") > least)
-                             .select(_key(keys).alias("_hk"), "_n"), "scan-hot")
-    plain = df.withColumns({"_chunk": F.lit(0).cast("long"), "_hot": F.lit(False)})
-    if n_hot == 0:
-        release(hot)
-        return Chunks(plain, 0)
-    most = hot.agg(F.max("_n")).first()[0]
-    slices = max(2, min(MAX_SLICES, -(-most // chunk_rows)))
-    if not keys:
-        slices = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    step = max(1, math.isqrt(slices))
-    small = _maybe_broadcast(hot.select("_hk"), n_hot, 128)
     first = df.withColumns({"_ck": _key(keys), "_pos": order_number(df, order[0])})
-    bounds, _ = materialize(
-        first.select("_ck", "_pos", *order[1:2]).join(small, F.col("_ck") == F.col("_hk"))
-        .groupBy("_hk").agg(_quantiles(F.col("_pos"), slices).alias("_q"))
-        .select("_hk", F.array_distinct("_q").alias("_b"), _repeated("_q").alias("_bursts"))
-        .select("_hk", "_bursts", _grouped("_b", step).alias("_groups"))
-        .withColumn("_tops", F.transform(F.expr("slice(_groups, 1, size(_groups) - 1)"),
-                                         lambda g: F.element_at(g, -1))), "scan-bounds")
-    cut = _maybe_broadcast(bounds, n_hot, 128 + 16 * slices)
-    placed = first.join(cut, F.col("_ck") == F.col("_hk"), "left")
+    if keys:
+        counted = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+        total, most = counted.agg(F.sum("_n"), F.max("_n")).first()
+        least = max(chunk_rows, -(-(total or 0) // TOTAL_SLICES))
+        if not total or most <= least:
+            return Chunks(df.withColumns({"_chunk": F.lit(0).cast("long"), "_hot": F.lit(False)}), 0)
+        hot, _ = materialize(counted.filter(F.col("_n") > least).select(
+            _key(keys).alias("_hk"), _lg(F.col("_n") / least).alias("_lg")), "scan-hot")
+        sizes = {r["_lg"]: r["n"] for r in hot.groupBy("_lg").agg(F.count(F.lit(1)).alias("n"))
+                 .collect()}
+        quantiles = _bounds(first.select("_ck", "_pos").join(
+            F.broadcast(hot), F.col("_ck") == F.col("_hk")), ["_hk"], F.col("_pos"), list(sizes))
+        bounds, _ = materialize(_split_bounds(quantiles), "scan-bounds")
+        release(hot)
+        burst = bounds.agg(F.max(F.expr("array_max(transform(_bursts, b -> b.n))"))).first()[0]
+        total_slices = sum((1 << c) * n for c, n in sizes.items())
+    else:
+        # one key: its count and its quantiles in one job, the bounds by way of the driver
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        lg = min(MAX_LG, max(1, (parts - 1).bit_length()))
+        total, q = first.agg(F.count(F.lit(1)), _quantiles(F.col("_pos"), 1 << lg)).first()
+        if not total:
+            return Chunks(df.withColumns({"_chunk": F.lit(0).cast("long"), "_hot": F.lit(False)}), 0)
+        asked = min(MAX_LG, (-(-total // max(chunk_rows, -(-total // TOTAL_SLICES))) - 1).bit_length())
+        if asked > lg:
+            lg = asked
+            q = first.agg(_quantiles(F.col("_pos"), 1 << lg)).first()[0]
+        q = q or []
+        kind = first.schema["_pos"].dataType
+        local = spark.createDataFrame([(lg, q)], T.StructType([
+            T.StructField("_lg", T.IntegerType()), T.StructField("_q", T.ArrayType(kind))]))
+        bounds = _split_bounds(local).withColumn("_hk", _key([]))
+        burst = max((q.count(v) for v, w in zip(q, q[1:]) if v == w), default=None)
+        total_slices = 1 << lg
+    placed = first.join(F.broadcast(bounds), F.col("_ck") == F.col("_hk"), "left")
     # two-level lookup: the group of bounds, then the place in it
     group = F.size(F.filter("_tops", lambda v: v < F.col("_pos")))
     inner = F.element_at("_groups", group + 1)
-    below = group * step + F.size(F.filter(inner, lambda v: v < F.col("_pos")))
+    below = group * F.col("_step") + F.size(F.filter(inner, lambda v: v < F.col("_pos")))
     slot = F.when(F.col("_hk").isNull() | F.col("_pos").isNull(), F.lit(0)).otherwise(F.coalesce(
         2 * below + F.array_contains(inner, F.col("_pos")).cast("int"), F.lit(0))).cast("long")
-    part, total = F.lit(0), 2 * slices * n_hot
-    if len(order) > 1 and not bounds.filter("size(_bursts) > 0").isEmpty():
+    part, slices = F.lit(0), 2 * total_slices
+    if len(order) > 1 and burst:
         second = order_number(df, order[1])
+        # a value that stands n times among the quantiles has about n slices of rows
+        times = F.expr("get(filter(_bursts, b -> b.v = _pos), 0).n")
+        rows = (placed.withColumns({"_pos2": second, "_lg": _lg(times + 1)})
+                .filter(times.isNotNull())
+                .select(F.col("_hk").alias("_bk"), F.col("_pos").alias("_bp"), "_pos2", "_lg"))
         inner, n_inner = materialize(
-            placed.filter(F.array_contains("_bursts", F.col("_pos")))
-            .withColumn("_pos2", second).groupBy(F.col("_hk").alias("_bk"), F.col("_pos").alias("_bp"))
-            .agg(F.array_distinct(_quantiles(F.col("_pos2"), slices)).alias("_inner")), "scan-bursts")
-        placed = placed.join(_maybe_broadcast(inner, n_inner, 128 + 8 * slices),
+            _bounds(rows, ["_bk", "_bp"], F.col("_pos2"), range(1, min(MAX_LG, burst.bit_length()) + 1))
+            .select("_bk", "_bp", F.array_distinct("_q").alias("_inner")), "scan-bursts")
+        placed = placed.join(F.broadcast(inner),
                              (F.col("_ck") == F.col("_bk")) & (F.col("_pos") == F.col("_bp")), "left")
         part = F.coalesce(F.size(F.filter("_inner", lambda v: v < second)), F.lit(0))
         part = F.when(F.col("_inner").isNull(), F.lit(0)).otherwise(part)
-        total += slices * n_inner
+        slices += 4 * total_slices + 2 * n_inner
     rows = placed.withColumns({"_chunk": F.shiftleft(slot, 20) + part,
                                "_hot": F.col("_hk").isNotNull()}).select(*df.columns, "_chunk", "_hot")
-    release(hot)
-    return Chunks(rows, total)
+    return Chunks(rows, slices)
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -24,6 +24,24 @@ def test_query_matches_oracle(spark, ducks, name):
     assert res["ok"], res
 
 
+KEYED = ["rolling_sum", "rolling_argmax", "running_count", "keyed_bucket_count", "bucket_count",
+         "gate", "threshold_alert", "jump_alert", "jump_alert_ttl", "alert_counter", "rise_alert",
+         "late_updates"]
+
+
+@pytest.mark.parametrize("name", KEYED)
+def test_hot_path_matches_oracle(spark, ducks, name):
+    """Every keyed scan with its keys cut into slices."""
+    from kairo.plans.scan import CHUNK_ROWS_CONF
+    sf = SF001 if name in LATE else SF0001
+    spark.conf.set(CHUNK_ROWS_CONF, "20")
+    try:
+        res = compare(spark, ducks[sf], sf, name, entry.queries()[name], entry.oracle_sql()[name])
+    finally:
+        spark.conf.unset(CHUNK_ROWS_CONF)
+    assert res["ok"], res
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "min", "max", "end_ts"]

@@ -92,3 +92,63 @@ def test_scan_without_keys_is_always_cut(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     sizes = _sizes(with_chunks(ev, [], ["event_id"], 10_000_000))
     assert len(sizes) >= 8 and max(sizes) < 0.3 * sum(sizes)
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_rows_are_never_dealt_by_the_bare_key(spark, monkeypatch):
+    """Also where nothing beyond the bounds may be broadcast."""
+    from kairo.plans import scan
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("hot", F.col("user_id") % 3)
+    want = _rows(prefix_scan(ev, ["hot"], ["ts", "event_id"], aggs(), chunk_rows=None))
+    monkeypatch.setattr(scan, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prefix_scan(ev, ["hot"], ["ts", "event_id"], aggs(), chunk_rows=500)
+        dealt = _exchanges(out)
+        assert _rows(out) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = [x for x in dealt if "event_type" in x or "REPARTITION" in x]
+    assert len(rows) == 1 and "_chunk" in rows[0]
+    # by the key alone go only the slices' summaries
+    for x in dealt:
+        assert "_chunk" in x or "REPARTITION" not in x
+
+
+def test_slices_follow_each_keys_own_count(spark):
+    """One huge key and many barely hot ones: bounds in all as the rows, not as the
+    number of keys times the largest."""
+    ev = spark.range(60_000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") < 40_000, 0).otherwise(F.col("id") % 100 + 1).alias("k"),
+        F.timestamp_seconds(F.col("id") * 7).alias("ts"),
+        (F.col("id") * 7919 % 101).cast("double").alias("value"),
+        F.when(F.col("id") % 11 == 0, "error").otherwise("view").alias("event_type"))
+    cut = with_chunks(ev, ["k"], ["ts", "event_id"], 150)
+    by = {r["k"]: r["s"] for r in cut.rows.groupBy("k").agg(F.count_distinct("_chunk").alias("s"))
+          .collect()}
+    assert by[0] >= 256 and max(n for k, n in by.items() if k) <= 4
+    assert cut.slices <= 2 * (512 + 100 * 2)
+    want = prefix_scan(ev, ["k"], ["ts", "event_id"], aggs(), chunk_rows=None)
+    assert _rows(want) == _rows(prefix_scan(ev, ["k"], ["ts", "event_id"], aggs(), chunk_rows=150))
+
+
+def test_slices_grow_beyond_the_total(spark, monkeypatch):
+    """With more rows than ``TOTAL_SLICES`` slices are for, slices grow, and results stay."""
+    from kairo.plans import scan
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("hot", F.col("user_id") % 3)
+    want = _rows(prefix_scan(ev, ["hot"], ["ts", "event_id"], aggs(), chunk_rows=None))
+    monkeypatch.setattr(scan, "TOTAL_SLICES", 10)
+    cut = with_chunks(ev, ["hot"], ["ts", "event_id"], 20)
+    assert 0 < cut.slices <= 2 * 3 * 8
+    assert _rows(prefix_scan(ev, ["hot"], ["ts", "event_id"], aggs(), chunk_rows=20)) == want
+
+
+def test_empty_frames(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet").filter("event_id < 0")
+    for keys in (["user_id"], []):
+        assert prefix_scan(ev, keys, ["ts", "event_id"], aggs()).count() == 0
