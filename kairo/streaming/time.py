@@ -30,3 +30,19 @@ def punctuated(df: DataFrame, when: Column, ts: str = "ts", delay: str = "60 sec
     dropped and never move it."""
     df = as_event_time(df, ts)
     return df.withColumn(out, F.when(when, F.col(ts))).withWatermark(out, delay)
+
+
+def never_late(df: DataFrame, et: str, delay: str, *, when: Column | None = None,
+               out: str = "_wm") -> DataFrame:
+    """A watermark that lags ``delay`` behind the largest event time (of the rows
+    matching ``when``), and no row that Spark drops for it.
+
+    Spark drops rows below the watermark before a stateful operator sees them.  So
+    each row is doubled in place: a copy that only moves the watermark and ends here,
+    before any exchange, and the row itself, whose watermark column ``out`` is null."""
+    moves = F.col(et) if when is None else F.when(when, F.col(et))
+    own = F.lit(None).cast("timestamp")
+    both = df.withColumn(out, F.explode(F.when(moves.isNotNull(), F.array(own, moves))
+                                         .otherwise(F.array(own))))
+    # a predicate on the watermark column stays above the watermark
+    return both.withWatermark(out, delay).filter(F.col(out).isNull())
