@@ -80,7 +80,7 @@ def late_window_split(df: DataFrame, *, key: str = "id", et: str = "et",
 
 def late_updates(df: DataFrame, *, key: str = "id", et: str = "et", arrival: str = "seq",
                  bound_s: int = 5, size: str = "10 seconds",
-                 allowance_s: int = 5) -> DataFrame:
+                 allowance_s: int = 5, tag_scope: str = "window") -> DataFrame:
     """L3: window counts with allowed lateness, re-emitted per late row.
 
     When the watermark passes a window's end the window emits its count of
@@ -88,26 +88,41 @@ def late_updates(df: DataFrame, *, key: str = "id", et: str = "et", arrival: str
     watermark is still below ``end + allowance``, joins the window and
     re-emits the new count, tagged ``update`` (``first`` if the window had
     not emitted yet).  Rows after that are dropped.  The tag is kept per
-    window; the reference keeps it per key, so there every emission after a
-    key's very first says ``update``.
+    window; with ``tag_scope="key"`` it is kept per key, as in the reference:
+    every emission after a key's very first says ``update``.  A window emits
+    before the first row whose watermark has passed its end.
 
     Since the watermark never decreases along arrival order, a window's
     on-time rows all arrive before its late ones, and its dropped rows after
     them; the count at a late row is the running count in arrival order.
     Output ``(id, end_ts, cnt, tag)``.
     """
+    if tag_scope not in ("window", "key"):
+        raise ValueError("tag_scope is 'window' or 'key'")
     w = _windowed(df, et, arrival, bound_s, size)
     fired = F.coalesce(F.col("end_ts") <= F.col("wm"), F.lit(False))
     dropped = F.coalesce(F.col("end_ts") + _seconds(allowance_s) <= F.col("wm"), F.lit(False))
     # written once: the second scan's statistics would repeat the first scan
     kept, _ = materialize(w.filter(~dropped).select(
-        key, arrival, "_ws", "end_ts", fired.alias("_fired")), "late-rows")
+        key, arrival, "_ws", "end_ts", "wm", fired.alias("_fired")), "late-rows")
     run = prefix_scan(kept, [key, "_ws"], [arrival], [
         Agg("cnt", "count", F.lit(1)),
         Agg("_ontime", "count", F.when(~F.col("_fired"), 1))])
     first = (run.filter(~F.col("_fired")).groupBy(key, "end_ts")
                 .agg(F.max("cnt").alias("cnt"))
                 .withColumn("tag", F.lit(TAG_FIRST)))
+    if tag_scope == "key":
+        # in the order of emission: a window when the watermark is at its end, a late
+        # row at its own watermark
+        out, _ = materialize(
+            first.select(key, "end_ts", "cnt", F.col("end_ts").alias("_at"),
+                         F.lit(-2 ** 63).alias("_k"))
+            .unionByName(run.filter("_fired").select(
+                key, "end_ts", "cnt", F.col("wm").alias("_at"),
+                F.col(arrival).cast("long").alias("_k"))), "late-emitted")
+        out = prefix_scan(out, [key], ["_at", "_k"], [Agg("_n", "count", F.lit(1))])
+        return out.select(key, "end_ts", "cnt", F.when(F.col("_n") == 1, F.lit(TAG_FIRST))
+                                                 .otherwise(F.lit(TAG_UPDATE)).alias("tag"))
     upd = (run.filter(F.col("_fired"))
               .withColumn("tag", F.when((F.col("_ontime") == 0) & (F.col("cnt") == 1),
                                         F.lit(TAG_FIRST)).otherwise(F.lit(TAG_UPDATE)))

@@ -464,3 +464,19 @@ FROM r WHERE fired
 def q_late_updates(spark, sf_dir):
     return op.late_updates(_disordered(spark, sf_dir), bound_s=_LATE_BOUND_S, size="1 hour",
                            allowance_s=3600)
+
+
+@register("late_updates_by_key", _WM_SQL + """
+, k AS (SELECT *, coalesce(end_ts <= wm, false) AS fired FROM w
+        WHERE NOT coalesce(end_ts + INTERVAL 1 HOUR <= wm, false)),
+r AS (SELECT *, count(*) OVER (PARTITION BY id, ws ORDER BY seq
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM k),
+e AS (SELECT id, end_ts, count(*) AS cnt, end_ts AS pos, -1 AS k FROM k WHERE NOT fired
+      GROUP BY id, end_ts
+      UNION ALL SELECT id, end_ts, cnt, wm, seq FROM r WHERE fired)
+SELECT id, end_ts, cnt, CASE WHEN row_number() OVER (PARTITION BY id ORDER BY pos, k) = 1
+                             THEN 'first' ELSE 'update' END AS tag FROM e
+""")
+def q_late_updates_by_key(spark, sf_dir):
+    return op.late_updates(_disordered(spark, sf_dir), bound_s=_LATE_BOUND_S, size="1 hour",
+                           allowance_s=3600, tag_scope="key")

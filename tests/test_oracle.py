@@ -9,7 +9,8 @@ from conftest import SF0001, SF001
 from oracle_compare import compare, duck
 
 # late-data queries have no late rows at sf0.001 (too sparse), so they run at sf0.01
-LATE = {"late_rows", "late_counts", "late_window_counts", "late_window_rows", "late_updates"}
+LATE = {"late_rows", "late_counts", "late_window_counts", "late_window_rows", "late_updates",
+        "late_updates_by_key"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def test_query_matches_oracle(spark, ducks, name):
 
 KEYED = ["rolling_sum", "rolling_argmax", "running_count", "keyed_bucket_count", "bucket_count",
          "gate", "threshold_alert", "jump_alert", "jump_alert_ttl", "alert_counter", "rise_alert",
-         "late_updates"]
+         "late_updates", "late_updates_by_key"]
 
 
 @pytest.mark.parametrize("name", KEYED)
