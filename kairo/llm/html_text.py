@@ -4,10 +4,11 @@ A page is cut into tags and text, from which a tree is built with the end tags
 that HTML lets authors leave out.  Boilerplate elements (by tag, role, class or id)
 go.  Every paragraph earns points for its length and commas, discounted by its link
 density; it passes them to its parent whole and halved to each further ancestor.
-The container with the most points, after its own link density, is the main one; an
-``article`` or ``main`` around it takes its place, and an ancestor in which other
-containers earned a share of the points too.  Kept are its blocks and those of its
-siblings that score well or are low-link paragraphs.
+The container with the most points, after its own link density, is the main one, but
+an ``article`` or ``main`` with a twentieth of them comes first; one around it takes
+its place, else an ancestor in which other containers earned a share of the points
+too.  Kept are its blocks and, beside a container that is no ``article`` or ``main``,
+those of its siblings that score well or are low-link paragraphs.
 
 Plan: one Arrow map over the pages; no shuffle, no state between pages.  All walks
 are loops, so nesting may be as deep as a page likes, and every step is linear in
@@ -53,12 +54,16 @@ DROP_TAGS = frozenset(
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert "
                        "alertdialog menu menubar toolbar".split())
 DROP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adslot adsense banner sponsor sponsored "
+    "ad ads adv advert adverts advertisement advertising adslot adsense adsbygoogle adbox adunit "
+    "banner sponsor sponsored dropdown responses feedback "
     "promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside "
     "footer masthead topbar comment comments commentlist disqus respond reply replies "
     "notice notices cookie cookies consent gdpr alert newsletter subscribe subscription signup "
     "login share sharing social related recommended popular trending popup modal overlay toolbar "
     "pagination pager widget disclaimer copyright hidden skip".split())
+#: Never main text outside an ``article`` or ``main``; a part's own header keeps its headings.
+OUTER_WORDS = frozenset("header discussion announcement".split())
+PART_WORDS = frozenset("article content entry post story".split())
 PLAIN_WORDS = frozenset("area block box container list reader section thread user wrap wrapper".split())
 MAIN_TAGS = frozenset(["article", "main"])
 ROOTS = frozenset(["#root", "html", "body"])
@@ -177,9 +182,9 @@ def _boilerplate(node: Node, in_main: bool) -> bool:
     if ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style
             or a.get("role", "").lower() in DROP_ROLES):
         return True
-    if not in_main:
-        words = words | {"header"}
-    if any(w.lower() in words for w in _WORD.findall(a.get("class", ""))):
+    if not in_main and node.tag not in MAIN_TAGS | ROOTS:
+        words = words | OUTER_WORDS
+    if {w.lower() for w in _WORD.findall(a.get("class", ""))} & words:
         return True
     ids = {w.lower() for w in _WORD.findall(a.get("id", ""))}
     if in_main:          # there an id is often a heading's words
@@ -187,6 +192,16 @@ def _boilerplate(node: Node, in_main: bool) -> bool:
     return bool(ids & words)
 
 
+def _part_header(node: Node, in_main: bool) -> bool:
+    """The header of a part of the page: in it only headings are main text."""
+    if node.tag == "header":
+        return in_main
+    if "header" not in node.attrs.lower():
+        return False
+    names = {w.lower() for w in _WORD.findall(_attributes(node.attrs).get("class", ""))}
+    return "header" in names and bool(names & PART_WORDS)
+
+
 def _headings(node: Node) -> list[Node]:
     return [n for n in _order(node) if n.tag in HEADINGS]
 
@@ -217,10 +232,10 @@ def prune(root: Node) -> None:
         for c in node.children:
             if isinstance(c, str):
                 kept.append(c)
+            elif _part_header(c, in_main):
+                kept += _headings(c)
             elif id(c) in around and c.tag not in DROP_TAGS or not _boilerplate(c, in_main):
                 kept.append(c)
-                if c.tag == "header" and in_main:
-                    c.children = _headings(c)
                 stack.append((c, in_main))
         node.children = kept
 
@@ -287,8 +302,10 @@ def main_nodes(root: Node) -> list[Node]:
     nodes = score(root)
     best = max((n for n in nodes if n.tag in BLOCK or n.tag in ROOTS), key=lambda n: n.points,
                default=root)
-    if best.points <= 0:
-        best = next((n for n in nodes if n.tag in MAIN_TAGS), root)
+    named = max((n for n in nodes if n.tag in MAIN_TAGS), default=best,
+                key=lambda n: (n.points, n.tag == "article"))
+    if best.points <= 0 or named.points >= best.points / 20:
+        best = named                     # marked as the main part, unless it is a mere teaser
     around, outer = {}, best
     while outer is not None:
         around[outer.tag], outer = outer, outer.parent
@@ -299,7 +316,7 @@ def main_nodes(root: Node) -> list[Node]:
                 c is not top and not isinstance(c, str) and c.points >= best.points / 5
                 for c in top.parent.children):
             top = top.parent
-    if top.parent is None or top.tag in ROOTS:
+    if top.parent is None or top.tag in ROOTS or top.tag in MAIN_TAGS:
         return [top]
     keep = []
     for c in top.parent.children:
@@ -307,7 +324,7 @@ def main_nodes(root: Node) -> list[Node]:
             continue
         plain = c.length > 0 and _density(c) < 0.25
         if c is top or (plain and c.points >= max(10.0, best.points / 5)) or (
-                plain and c.tag in PARAGRAPHS | HEADINGS and top.tag not in MAIN_TAGS):
+                plain and c.tag in PARAGRAPHS | HEADINGS):
             keep.append(c)
     return keep
 

@@ -162,6 +162,13 @@ PAGES = {
     "comments as articles": (
         f"<main><article>{P}<p>u<div class=ad>buy</div>v</p></article><article class=comment>{P * 9}"
         "</article></main>", [T, "u", "v"]),
+    "nameless comments beside": (
+        f"<header><h1>Site</h1></header><div class=notice>{P}</div><article><h1>A</h1>{P}</article>"
+        f"<section><h2>Comments</h2>{P * 9}</section><aside>{P * 3}</aside>", ["A", T]),
+    "a part's header": (
+        f"<div class=page-header><h1>Site</h1></div><div class=post><div class=post-header><h1>A</h1>"
+        f"<span>by me</span></div>{P * 2}<p>short</div><div class=discussion>{P * 4}</div>",
+        ["A", T, T, "short"]),
     "comments inside": (f"<article>{P}<section id=comments>{P * 9}</section><h2 id=market-share>M</h2>"
                         "</article>", [T, "M"]),
     "cut off": (f"<article>{P}<p>cut <a href='x", [T, "cut"]),
