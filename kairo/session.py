@@ -103,6 +103,8 @@ def materialize(df: DataFrame, name: str, *, compressed: bool = True,
         path, compression=None if compressed else "uncompressed")
     out = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[out] = path
+    for owner in _OWNERS:
+        owner.paths.add(path)
     return out, int(obs.get["n"])
 
 
@@ -115,10 +117,39 @@ def release(*frames: DataFrame) -> None:
     for df in frames:
         path = _WRITTEN.pop(df, None)
         if path:
-            jvm = df.sparkSession.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-            where.getFileSystem(conf).delete(where, True)
+            _delete(df.sparkSession, path)
+            for owner in _OWNERS:
+                owner.paths.discard(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_OWNERS: list[Scratch] = []
+
+
+class Scratch:
+    """Owner of the tables that queries write on their way: those written inside the
+    ``with`` block go at its end, also after an error.  Results are read from such
+    tables, so write or collect them inside the block::
+
+        with Scratch(spark):
+            operators.rise_alert(readings).write.parquet(target)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, set()
+
+    def __enter__(self) -> Scratch:
+        _OWNERS.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        _OWNERS.remove(self)
+        for path in self.paths:
+            _delete(self.spark, path)
 
 
 _SHIPPED: set[str] = set()

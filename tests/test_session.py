@@ -45,3 +45,29 @@ spark = get_session(master='local[2]', shuffle_partitions=2)
 spark.sparkContext.setCheckpointDir("{own}")
 """)
     assert str(own) in got["DIR"] and got["GONE"] == "5 True"
+
+
+def test_scratch_owner_deletes_what_queries_wrote(spark):
+    from kairo import operators as op
+    from kairo.sources.tables import readings
+    from kairo.session import Scratch, checkpoint_dir
+    from conftest import SF0001
+
+    def tables():
+        folder = checkpoint_dir(spark).removeprefix("file://")
+        return {n for n in os.listdir(folder) if n.startswith(("rise-", "scan-"))}
+
+    before = tables()
+    r = readings(spark.read.parquet(f"{SF0001}/events.parquet"))
+    with Scratch(spark):
+        with Scratch(spark):
+            assert op.rise_alert(r, hold="1 day").count() > 0
+            assert tables() > before
+        assert tables() == before
+    try:
+        with Scratch(spark):
+            op.rise_alert(r, hold="1 day")
+            raise KeyError
+    except KeyError:
+        pass
+    assert tables() == before
