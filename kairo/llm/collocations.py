@@ -3,28 +3,34 @@
 Method: a HAT-trie counts phrases in every task.  Its root branches by the first
 word's id; below hang containers, hash tables of the packed ids that follow.  A
 container that grows too large bursts into a node that branches by the next word.
-When the trie holds too many entries, whole subtrees are spilled as runs sorted by
-phrase, and Spark merges all runs per prefix partition (language and the first
-three words), where equal phrases meet and their counts are added.
-
-A phrase that occurs ``least`` times has only parts that do, so counting goes level
-by level: words; pairs of frequent words; phrases of three and four words all of
-whose pairs are frequent.  Tasks know the frequent ones by a bit table of hashes:
-its size is at most ``2**MAX_BITS`` bits whatever the corpus, it never misses a
-frequent phrase, and a false hit costs a count that the exact threshold drops.
-
-Memory: at most ``ENTRIES`` entries and ``WORDS`` words a task.  Only the merged
-counts of frequent phrases are joined, by ``lookup``, which a frequent word cannot
-bring down; the driver sees the bit table only.
+When the trie holds too many entries, whole subtrees are spilled as runs: per
+language and prefix partition (by a hash of the first three words) one compressed row
+of sorted phrases and their counts.  Spark brings a partition's runs together, and
+they are merged there: equal phrases meet and their counts are added.
+
+A phrase that occurs ``least`` times has only parts that do, so most phrases need
+not enter the trie.  Words and pairs, then runs of three words, are first counted by
+their 64-bit hashes alone; hashes that reach ``least`` mark ``PROBES`` places each of
+a bit table, of at most ``2**MAX_BITS`` bits whatever the corpus, which all tasks get.
+It never misses a frequent phrase, and a false hit costs an entry that the exact count
+drops.
+
+Memory: at most ``ENTRIES`` entries, ``WORDS`` words or ``HASHES`` hashes a task, and
+where runs are merged a partition's distinct phrases, of which there are as many
+partitions as the session's shuffles have.
+Only the merged counts of frequent phrases are joined, by ``lookup``, which a
+frequent word cannot bring down; the driver sees the bit tables only.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,9 +39,11 @@ from kairo.llm.joins import lookup
 from kairo.session import materialize, release
 
 BURST = 4096
-ENTRIES = 250_000
+ENTRIES = 400_000
+HASHES = 1 << 21
 WORDS = (1 << 21) - 2
 MAX_BITS = 27
+PROBES = 4
 SLICE = 1 << 20
 _SHIFT = 21
 
@@ -45,7 +53,8 @@ _CUT[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _GAP = _CUT.copy()
 _GAP[[ord(" "), ord("\t")]] = True
 
-COUNTS = "lang string, words int, prefix string, phrase string, n long"
+RUNS = "part int, lang string, phrases binary, counts binary"
+COUNTS = "lang string, words int, phrase string, n long"
 
 
 def _bare(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,8 +146,8 @@ class HatTrie:
 class _Counter:
     """One task's trie, its word ids, and the runs it spills."""
 
-    def __init__(self, lengths: tuple[int, ...], entries: int, burst: int):
-        self.lengths, self.limit, self.burst = lengths, entries, burst
+    def __init__(self, lengths: tuple[int, ...], entries: int, burst: int, parts: int):
+        self.lengths, self.limit, self.burst, self.parts = lengths, entries, burst, parts
         self._clear()
 
     def _clear(self) -> None:
@@ -188,7 +197,7 @@ class _Counter:
         """Sorted runs of whole subtrees, until at most ``keep`` entries stay; with
         nothing left the word ids start anew."""
         langs, names, mask = list(self.langs), self.names, (1 << _SHIFT) - 1
-        rows: list[tuple] = []
+        runs: dict[tuple[str, int], list[tuple[str, int]]] = {}
         for root in self.trie.largest(keep):
             keys, counts = self.trie.take(root)
             lang, head = langs[root >> _SHIFT], names[(root & mask) - 1]
@@ -197,26 +206,64 @@ class _Counter:
                 while k:
                     words.append(names[(k & mask) - 1])
                     k >>= _SHIFT
-                rows.append((lang, len(words), " ".join(words[:3]), " ".join(words), c))
-            if len(rows) >= 50_000:
-                yield _run(rows)
-                rows = []
-        if rows:
-            yield _run(rows)
+                part = zlib.crc32(" ".join(words[:3]).encode()) % self.parts
+                runs.setdefault((lang, part), []).append((" ".join(words), c))
+        if runs:
+            yield _run_rows(runs)
         if not self.trie.entries:
             self._clear()
 
 
-def _run(rows: list[tuple]) -> pa.RecordBatch:
-    rows.sort()
-    lang, words, prefix, phrase, n = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(words, pa.int32()), pa.array(prefix, pa.string()),
-         pa.array(phrase, pa.string()), pa.array(n, pa.int64())],
-        names=["lang", "words", "prefix", "phrase", "n"])
+def _run_rows(runs: dict[tuple[str, int], list[tuple[str, int]]]) -> pa.RecordBatch:
+    """Each run sorted by phrase, as one compressed row; words hold no line feed."""
+    z, rows = zstandard.ZstdCompressor(level=3), []
+    for (lang, part), run in runs.items():
+        run.sort()
+        phrases, counts = zip(*run)
+        rows.append((part, lang, z.compress("\n".join(phrases).encode()),
+                     z.compress(np.array(counts, np.int64).tobytes())))
+    kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                                      names=["part", "lang", "phrases", "counts"])
 
 
-_LANG, _PAIR = A.seeds(2, 13)
+def _merge(least: int):
+    """Runs, sorted by partition and language, to the phrases that reach ``least``;
+    the empty phrase, with all words of a language, always stays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, now, held = zstandard.ZstdDecompressor(), None, []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by("phrase").aggregate([("n", "sum")]) \
+                     .rename_columns(["phrase", "n"])
+
+        def done() -> Iterator[pa.RecordBatch]:
+            t = merged()
+            words = pc.add(pc.count_substring(t["phrase"], " "), 1)
+            words = pc.if_else(pc.equal(t["phrase"], ""), 0, words)
+            t = pa.table({"lang": pa.array([now[1]] * len(t), pa.string()),
+                          "words": words.cast(pa.int32()), "phrase": t["phrase"], "n": t["n"]})
+            yield from t.filter(pc.or_(pc.greater_equal(t["n"], least),
+                                       pc.equal(t["words"], 0))).to_batches()
+
+        for batch in batches:
+            for part, lang, phrases, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != (part, lang):
+                    if held:
+                        yield from done()
+                    now, held = (part, lang), []
+                text = pa.array([z.decompress(phrases).decode()], pa.large_string())
+                held.append(pa.table({
+                    "phrase": pc.split_pattern(text, "\n").values,
+                    "n": np.frombuffer(z.decompress(counts), np.int64)}))
+                if sum(map(len, held[1:])) > max(ENTRIES, len(held[0])):
+                    held = [merged()]
+        if held:
+            yield from done()
+    return run
+
+
+_LANG, _NEXT = A.seeds(2, 13)
 
 
 def _salted(h: np.ndarray, lang: str) -> np.ndarray:
@@ -226,108 +273,157 @@ def _salted(h: np.ndarray, lang: str) -> np.ndarray:
     return A.mix(h ^ (salt * _LANG))
 
 
-def _pairs(h: np.ndarray) -> np.ndarray:
-    return A.mix(h[:-1] * _PAIR + h[1:])
+def _gram(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the ``n`` words from each place of ``at`` on."""
+    out = h[at]
+    for j in range(1, n):
+        out = A.mix(out * _NEXT + h[at + j])
+    return out
 
 
-def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h & np.uint64(len(bits) * 64 - 1)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+def _places(h: np.ndarray, salt: np.uint64, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(word, bit)`` of the hashes in a table of ``size`` bits."""
+    at = A.mix(h ^ salt) & np.uint64(size - 1)
+    return (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
 
 
-def _count(docs: DataFrame, lengths: tuple[int, ...], words=None, pairs=None, *,
-           entries: int = ENTRIES, burst: int = BURST) -> DataFrame:
-    """Runs ``COUNTS`` of the phrases of ``lengths`` words, merged per prefix.
-    ``words`` and ``pairs`` are broadcast bit tables (None: count all)."""
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    found = np.arange(len(h))
+    for salt in A.seeds(PROBES, 14):
+        word, bit = _places(h[found], salt, len(bits) * 64)
+        found = found[(bits[word] >> bit) & np.uint64(1) == 1]
+    out = np.zeros(len(h), bool)
+    out[found] = True
+    return out
+
+
+def _starts(h: np.ndarray, piece: np.ndarray, tables: list, longest: int) -> list[np.ndarray]:
+    """Places where phrases of 1, 2, ... ``longest`` words begin that lie in one
+    piece and all of whose parts the bit tables know: words and pairs the first
+    table, ``n`` words the ``n - 1``-th."""
+    m = len(h)
+    out = [np.arange(m) if not tables else np.flatnonzero(_has(tables[0], h))]
+    ok = np.zeros(m + 1, bool)
+    for n in range(2, longest + 1):
+        ok[:] = False
+        ok[out[-1]] = True
+        at = out[-1] if n > 2 else np.arange(m)
+        at = at[at + n <= m]
+        at = at[piece[at] == piece[at + n - 1]]
+        if n > 2:
+            at = at[ok[at + 1]]
+        if len(tables) >= n - 1:
+            at = at[_has(tables[n - 2], _gram(h, at, n))]
+        out.append(at)
+    return out
+
+
+def _texts(batches: Iterator[pa.RecordBatch]
+           ) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(lang, bytes, word starts, word ends, pieces)`` of slices of one language."""
+    for batch in batches:
+        langs = batch.column(0).dictionary_encode()
+        text = A.string_column(batch, "text")
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            for _, _, buf, off in A.slices(text.filter(pc.equal(langs.indices, k)), SLICE):
+                buf = A.lower(buf)
+                start, end, piece = _bare(buf, off)
+                if len(start):
+                    yield lang, buf, start, end, piece
+
+
+def _marked(docs: DataFrame, lengths: tuple[int, ...], tables: list, least: int):
+    """Broadcast bit table of the hashes that phrases of ``lengths`` words reach
+    ``least`` times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(lengths, entries, burst)
-        for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for lang in sorted(set(langs)):
-                rows = pa.array([x == lang for x in langs])
-                text = A.string_column(batch, "text").filter(rows)
-                for _, _, buf, off in A.slices(text, SLICE):
-                    yield from _slice(counter, lang, buf, off)
-        yield from counter.spill(0)
+        known = [t.value for t in tables]
+        parts, held = [], 0
+
+        def flush():
+            h, n = np.unique(np.concatenate(parts), return_counts=True)
+            for i in range(0, len(h), 1 << 18):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[i:i + (1 << 18)].view(np.int64)), pa.array(n[i:i + (1 << 18)])],
+                    names=["h", "n"])
 
-    def _slice(counter, lang, buf, off):
-        buf = A.lower(buf)
-        start, end, piece = _bare(buf, off)
-        m = len(start)
-        if not m:
-            return
-        good = np.ones(m, bool)
-        link = np.zeros(m, bool)              # word i and the next one are a countable pair
-        link[:-1] = piece[1:] == piece[:-1]
-        if words is not None:
+        for lang, buf, start, end, piece in _texts(batches):
             h = _salted(A.word_hashes(buf, start, end), lang)
-            good = _has(words.value, h)
-            link[:-1] &= good[1:] & good[:-1]
-            if pairs is not None:
-                at = np.flatnonzero(link)
-                link[at] = _has(pairs.value, A.mix(h[at] * _PAIR + h[at + 1]))
-        starts, ok = {}, good
-        used = np.zeros(m, bool)
-        for n in range(1, max(lengths) + 1):
-            if n > 1:
-                step = np.zeros(m, bool)
-                step[:m - n + 1 if n <= m else 0] = link[n - 2:m - 1] if n <= m else []
-                ok = ok & step
-            if n in lengths:
-                starts[n] = np.flatnonzero(ok)
-                for j in range(n):
-                    used[starts[n] + j] = True
-        where = np.flatnonzero(used)
-        if not len(where):
-            return
-        a, b = start[where], end[where]
-        inside = np.zeros(len(buf) + 1, np.int8)
-        inside[a] += 1
-        inside[b] -= 1
-        data = buf[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
-        text = pa.LargeStringArray.from_buffers(
-            len(where), pa.py_buffer(np.append(0, np.cumsum(b - a)).astype(np.int64)),
-            pa.py_buffer(data))
-        coded = pc.dictionary_encode(text)
-        names = coded.dictionary.to_pylist()
-        yield from counter.room(len(names))
-        ids = counter.ids_of(names)
-        word = np.zeros(m, np.int64)
-        word[where] = ids[np.asarray(coded.indices)]
-        yield from counter.add(lang, word, starts)
-
-    runs = docs.mapInArrow(run, COUNTS)
-    return (runs.repartition("lang", "prefix").groupBy("lang", "prefix", "words", "phrase")
-            .agg(F.sum("n").alias("n")).drop("prefix"))
-
-
-def _bit_table(counts: DataFrame, rows: int):
-    """Broadcast bits of the hashed phrases of ``counts`` (one or two words)."""
-    size = 1 << min(MAX_BITS, max(16, (8 * rows).bit_length()))
+            starts = _starts(h, piece, known, max(lengths))
+            for n in lengths:
+                parts.append(_gram(h, starts[n - 1], n))
+                held += len(parts[-1])
+            if held > HASHES:
+                yield from flush()
+                parts, held = [], 0
+        if held:
+            yield from flush()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size // 64, np.uint64)
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for lang in sorted(set(langs)):
-                text = A.string_column(batch, "phrase").filter(pa.array([x == lang for x in langs]))
-                for _, _, buf, off in A.slices(text, SLICE):
-                    start, end, _ = _bare(buf, off)
-                    h = _salted(A.word_hashes(buf, start, end), lang)
-                    if len(start) > len(off) - 1:      # pairs
-                        h = _pairs(h)[::2]
-                    at = h & np.uint64(size - 1)
-                    np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64),
-                                     np.uint64(1) << (at & np.uint64(63)))
+            for salt in A.seeds(PROBES, 14):
+                word, bit = _places(batch.column(0).to_numpy().view(np.uint64), salt, size)
+                np.bitwise_or.at(bits, word, np.uint64(1) << bit)
         slot = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(bits[slot].view(np.int64))],
                                          names=["slot", "bits"])
 
-    found = (counts.select("lang", "phrase").mapInArrow(mark, "slot long, bits long")
-             .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow())
+    often, rows = materialize(
+        docs.mapInArrow(run, "h long, n long").repartition("h").groupBy("h")
+        .agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h"), "phrases-hashes",
+        compressed=False)
+    size = 1 << min(MAX_BITS, max(16, (32 * rows).bit_length()))
+    found = (often.mapInArrow(mark, "slot long, bits long").groupBy("slot")
+             .agg(F.bit_or("bits").alias("bits")).toArrow())
+    release(often)
     bits = np.zeros(size // 64, np.uint64)
     bits[np.asarray(found["slot"])] = np.asarray(found["bits"]).astype(np.int64).view(np.uint64)
-    return counts.sparkSession.sparkContext.broadcast(bits)
+    return docs.sparkSession.sparkContext.broadcast(bits)
+
+
+def _count(docs: DataFrame, longest: int, tables: list, least: int, entries: int, burst: int
+           ) -> DataFrame:
+    """``COUNTS`` of the phrases that occur ``least`` times, of those that the bit tables
+    let through; ``words`` 0 counts all words of a language."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [t.value for t in tables]
+        counter = _Counter(tuple(range(1, longest + 1)), entries, burst, parts)
+        total: dict[str, int] = {}
+        for lang, buf, start, end, piece in _texts(batches):
+            total[lang] = total.get(lang, 0) + len(start)
+            h = _salted(A.word_hashes(buf, start, end), lang)
+            starts = dict(enumerate(_starts(h, piece, known, longest), 1))
+            used = np.zeros(len(start), bool)
+            for n, at in starts.items():
+                for j in range(n):
+                    used[at + j] = True
+            where = np.flatnonzero(used)
+            if len(where):
+                coded = pc.dictionary_encode(_word_column(buf, start[where], end[where]))
+                names = coded.dictionary.to_pylist()
+                yield from counter.room(len(names))
+                word = np.zeros(len(start), np.int64)
+                word[where] = counter.ids_of(names)[np.asarray(coded.indices)]
+                yield from counter.add(lang, word, starts)
+        yield from counter.spill(0)
+        if total:
+            yield _run_rows({(lang, 0): [("", n)] for lang, n in total.items()})
+
+    return (docs.mapInArrow(run, RUNS).repartition("part").sortWithinPartitions("part", "lang")
+            .mapInArrow(_merge(least), COUNTS))
+
+
+def _word_column(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The words as an array of strings."""
+    edge = np.zeros(len(buf) + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    data = buf[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    return pa.LargeStringArray.from_buffers(
+        len(start), pa.py_buffer(np.append(0, np.cumsum(end - start)).astype(np.int64)),
+        pa.py_buffer(data))
 
 
 def frequent_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", longest: int = 4,
@@ -335,26 +431,16 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang",
                      ) -> tuple[DataFrame, DataFrame]:
     """``(counts, totals)``: ``lang, words, phrase, n`` of all phrases of up to
     ``longest`` words that occur ``least`` times in a language, and ``lang, n``, all
-    its word occurrences.  Both are written tables."""
+    its word occurrences, of one written table."""
     df = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                      F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = dict(entries=entries, burst=burst)
-    often = F.col("n") >= least
-    every, _ = materialize(_count(df, (1,), **size), "phrases-words")
-    totals, _ = materialize(every.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-    words, n = materialize(every.filter(often), "phrases-1")
-    release(every)
-    w = _bit_table(words, n)
-    pairs, n = materialize(_count(df, (2,), w, **size).filter(often), "phrases-2")
-    out = words.unionByName(pairs)
-    if longest > 2:
-        p = _bit_table(pairs, n)
-        more, _ = materialize(_count(df, tuple(range(3, longest + 1)), w, p, **size)
-                              .filter(often), "phrases-3")
-        out = out.unionByName(more)
-        p.unpersist()
-    w.unpersist()
-    return out, totals
+    tables: list = []
+    for lengths in ((1, 2), *((n,) for n in range(3, longest))):
+        tables.append(_marked(df, lengths, tables, least))
+    counts, _ = materialize(_count(df, longest, tables, least, entries, burst), "phrases")
+    for t in tables:
+        t.unpersist()
+    return counts.filter("words > 0"), counts.filter("words = 0").select("lang", "n")
 
 
 def _part(first, length):
